@@ -19,7 +19,10 @@ WHITESPACE = r"[ \t\n\x0B\f\r]"
 # loses them at its two ends (Java-style trim).
 EDGE_CONTROL = r"[\x00-\x08\x0E-\x1F]"
 
-_EMPTY = F.array().cast("array<string>")
+
+
+def _empty() -> Column:
+    return F.array().cast("array<string>")
 
 
 def text_lines(text: Column) -> Column:
@@ -29,7 +32,7 @@ def text_lines(text: Column) -> Column:
     open one more (empty) line; an empty text has no lines; NULL stays NULL.
     """
     body = F.regexp_replace(text, r"(?:\r\n|\r|\n)\z", "")
-    return F.when(text == "", _EMPTY).otherwise(F.split(body, LINE_BREAK, -1))
+    return F.when(text == "", _empty()).otherwise(F.split(body, LINE_BREAK, -1))
 
 
 def space_tokens(line: Column) -> Column:
@@ -39,7 +42,7 @@ def space_tokens(line: Column) -> Column:
     a line of spaces only gives none.
     """
     stripped = F.rtrim(line)  # rtrim removes U+0020 only
-    return F.when((line != "") & (stripped == ""), _EMPTY).otherwise(F.split(stripped, " ", -1))
+    return F.when((line != "") & (stripped == ""), _empty()).otherwise(F.split(stripped, " ", -1))
 
 
 def clean_tokens(line: Column) -> Column:

@@ -88,3 +88,35 @@ UNION ALL SELECT 'repartition', 10, n FROM t""",
 SELECT o_orderpriority AS key, sum(o_custkey)::DOUBLE / count(o_custkey) AS avg_value
 FROM orders GROUP BY o_orderpriority""",
 }
+
+_SLICE = "CAST(((event_id % 4) + 4) % 4 AS INTEGER)"
+_WINDOWS = """
+SELECT w AS window_start, event_type AS word, count(*) AS n
+FROM (SELECT event_type,
+             unnest(generate_series(date_trunc('minute', ts) - INTERVAL 4 MINUTE,
+                                    date_trunc('minute', ts), INTERVAL 1 MINUTE)) AS w
+      FROM events)
+GROUP BY w, event_type"""
+_TOTALS = "SELECT event_type AS word, count(*) AS total FROM events GROUP BY event_type"
+
+STREAM_SQL = {
+    "stream_batch_counts": f"SELECT {_SLICE} AS slice, event_type AS word, count(*) AS n "
+                           "FROM events GROUP BY 1, 2",
+    "stream_sql_counts": f"SELECT {_SLICE} AS slice, event_type AS word, count(*) AS total "
+                         "FROM events GROUP BY 1, 2",
+    "stream_sliding_counts": _WINDOWS,
+    "stream_sliding_counts_sql": _WINDOWS,
+    "stream_running_counts": f"""
+SELECT event_type AS word,
+       CAST(row_number() OVER (PARTITION BY event_type ORDER BY {_SLICE}, event_id) AS BIGINT) AS total
+FROM events""",
+    "stream_resumed_counts": _TOTALS,
+    "stream_count_snapshot": _TOTALS,
+    "sink_counter_totals": _TOTALS,
+    "sink_timed_counts": f"""
+WITH e AS (SELECT {_SLICE} AS slice, ts, event_type FROM events),
+     m AS (SELECT slice, max(ts) AS mts FROM e GROUP BY slice)
+SELECT CAST(floor(epoch_us(m.mts) / 1000) AS BIGINT) AS time_ms, e.event_type AS word, count(*) AS n
+FROM e JOIN m USING (slice)
+GROUP BY 1, 2""",
+}
