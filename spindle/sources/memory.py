@@ -28,9 +28,8 @@ def int_list(spark: SparkSession, values: list[int], partitions: int) -> DataFra
     schema = T.StructType([T.StructField("slice", T.IntegerType(), False),
                            T.StructField("id", T.LongType(), False)])
     df = spark.createDataFrame(rows, schema)
-    # one partition per slice, in slice order; partitionBy on the slice column
-    # keeps the contiguous layout of the literal list
-    return (df.repartitionByRange(partitions, "slice")
+    # slice i goes to partition i, keeping the contiguous layout of the literal list
+    return (df.repartitionById(partitions, "slice")
               .sortWithinPartitions("slice", "id")
               .select("id"))
 
