@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 # Line terminators of a text file, and the punctuation the cleaning
 # tokeniser deletes (deleted, not replaced by a space).
 LINE_BREAK = r"\r\n|\r|\n"
-DELETED_PUNCTUATION = r"['.,:?!-]"
+DELETED_PUNCTUATION = "'.,:?!-"
 # Java's \s class: space, tab, newline, vertical tab, form feed, carriage return.
 WHITESPACE = r"[ \t\n\x0B\f\r]"
 # Characters <= U+0020 that are not in WHITESPACE; a token keeps them inside but
@@ -51,7 +51,8 @@ def clean_tokens(line: Column) -> Column:
     Trimming is done on the whole line (control characters at a token's edges are
     removed before the split) so no per-token regex runs.  Case is kept.
     """
-    no_punct = F.regexp_replace(line, DELETED_PUNCTUATION, "")
+    no_punct = F.translate(line, DELETED_PUNCTUATION, "")  # unmatched characters are deleted
     edges = rf"(?:^|(?<={WHITESPACE})){EDGE_CONTROL}+|{EDGE_CONTROL}+(?={WHITESPACE}|\z)"
-    trimmed = F.regexp_replace(no_punct, edges, "")
+    # the edge regex only runs on the rare lines holding such control characters
+    trimmed = F.when(no_punct.rlike(EDGE_CONTROL), F.regexp_replace(no_punct, edges, "")).otherwise(no_punct)
     return F.filter(F.split(trimmed, WHITESPACE + "+", -1), lambda w: w != "")

@@ -27,6 +27,18 @@ def repartition_to(df: DataFrame, n: int, *cols: str) -> DataFrame:
     return df.repartition(n, *cols)
 
 
+def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster's cores when its scan has fewer partitions.
+
+    CPU-heavy per-row work (tokenising, parsing) after a scan of a few large row
+    groups would otherwise run on a few cores.  A large input already has at
+    least that many splits and is returned untouched, so no shuffle is added
+    at scale.  Only plan metadata is read.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if num_partitions(df) < want else df
+
+
 def num_partitions(df: DataFrame) -> int:
     """PRT-4: partition count of the planned DataFrame (metadata only)."""
     return df.rdd.getNumPartitions()

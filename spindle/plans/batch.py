@@ -77,13 +77,21 @@ def union_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.union_all(_order_keys(spark, sf_dir), _line_keys(spark, sf_dir))
 
 
+# Rows per unit of the layout below: the 3 + 2 -> 5 -> 3 -> 10 partition pattern is
+# multiplied by ceil(rows / LAYOUT_ROWS_PER_UNIT) so partitions stay bounded.
+LAYOUT_ROWS_PER_UNIT = 50_000_000
+
+
 def layout_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Union of a 3-way and a 2-way layout, coalesced to 3, reshuffled to 10."""
-    left = layout.repartition_to(_order_keys(spark, sf_dir), 3)
-    right = layout.repartition_to(_line_keys(spark, sf_dir), 2)
+    """Union of a 3-way and a 2-way layout, coalesced to 3, reshuffled to 10 (x scale unit)."""
+    orders, lines = _order_keys(spark, sf_dir), _line_keys(spark, sf_dir)
+    rows = orders.count() + lines.count()  # parquet footers; two scalars on the driver
+    unit = max(1, -(-rows // LAYOUT_ROWS_PER_UNIT))
+    left = layout.repartition_to(orders, 3 * unit)
+    right = layout.repartition_to(lines, 2 * unit)
     unioned = layout.union_all(left, right)
-    merged = layout.coalesce_to(unioned, 3)
-    spread = layout.repartition_to(merged, 10)
+    merged = layout.coalesce_to(unioned, 3 * unit)
+    spread = layout.repartition_to(merged, 10 * unit)
     return layout.layout_sizes([("union", unioned), ("coalesce", merged), ("repartition", spread)])
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spindle.operators.layout import spread_if_narrow
 from spindle.sources.files import document_lines, stopword_frame
 from spindle.sources.tables import load_table
 
@@ -24,7 +25,7 @@ OTHER_STATUS = 500
 
 def prose_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents.text as text lines, column ``value``."""
-    return document_lines(load_table(spark, sf_dir, "documents", "text"))
+    return document_lines(spread_if_narrow(load_table(spark, sf_dir, "documents", "text")))
 
 
 def catalog_stopwords(spark: SparkSession) -> DataFrame:
@@ -42,7 +43,8 @@ def status_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def supplier_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as CSV records ``"id,x,y,z"`` = suppkey, quantity, partkey, orderkey."""
-    li = load_table(spark, sf_dir, "lineitem", "l_suppkey", "l_quantity", "l_partkey", "l_orderkey")
+    li = spread_if_narrow(load_table(spark, sf_dir, "lineitem", "l_suppkey", "l_quantity",
+                                     "l_partkey", "l_orderkey"))
     return li.select(F.concat_ws(
         ",", F.col("l_suppkey").cast("string"), F.col("l_quantity").cast("bigint").cast("string"),
         F.col("l_partkey").cast("string"), F.col("l_orderkey").cast("string")).alias("value"))

@@ -80,10 +80,11 @@ FROM orders""",
     "even_head": "SELECT o_orderkey AS id FROM orders WHERE o_orderkey % 2 = 0 ORDER BY o_orderkey LIMIT 5",
     "union_keys": "SELECT o_orderkey AS id FROM orders UNION ALL SELECT l_orderkey AS id FROM lineitem",
     "layout_sizes": """
-WITH t AS (SELECT (SELECT count(*) FROM orders) + (SELECT count(*) FROM lineitem) AS n)
-SELECT 'union' AS stage, CAST(5 AS BIGINT) AS n_partitions, n AS n_rows FROM t
-UNION ALL SELECT 'coalesce', 3, n FROM t
-UNION ALL SELECT 'repartition', 10, n FROM t""",
+WITH t AS (SELECT (SELECT count(*) FROM orders) + (SELECT count(*) FROM lineitem) AS n),
+     u AS (SELECT n, CAST(greatest(1, ceil(n / 50000000)) AS BIGINT) AS unit FROM t)
+SELECT 'union' AS stage, 5 * unit AS n_partitions, n AS n_rows FROM u
+UNION ALL SELECT 'coalesce', 3 * unit, n FROM u
+UNION ALL SELECT 'repartition', 10 * unit, n FROM u""",
     "saved_pairs": """
 SELECT o_orderpriority AS key, sum(o_custkey)::DOUBLE / count(o_custkey) AS avg_value
 FROM orders GROUP BY o_orderpriority""",

@@ -35,5 +35,7 @@ def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stopword_frame(spark: SparkSession, words: list[str] | tuple[str, ...]) -> DataFrame:
-    """A small in-memory stop list (its size is known on the driver)."""
-    return spark.createDataFrame([(w,) for w in words], WORD_SCHEMA)
+    """A small in-memory stop list (its size is known on the driver), built from literals."""
+    if not words:
+        return spark.createDataFrame([], WORD_SCHEMA)
+    return spark.range(1).select(F.explode(F.array(*[F.lit(w) for w in words])).alias("word"))

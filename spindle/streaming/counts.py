@@ -126,7 +126,7 @@ class RunningCount(StatefulProcessor):
         pass
 
 
-def running_counts(words: DataFrame, spread_partitions: int | None = None) -> DataFrame:
+def running_counts(words: DataFrame, spread_partitions: int | None = 0) -> DataFrame:
     """STR-7: one ``(word, total)`` row per input token, ``total`` = running count so far.
 
     Plan: partial counts per partition (``mapInPandas``) -> shuffle by word ->
@@ -134,10 +134,14 @@ def running_counts(words: DataFrame, spread_partitions: int | None = None) -> Da
     round-robin spread -> ``explode(sequence(lo, hi))``.  State grows with the
     vocabulary; there is no timeout, like the state function it replaces.
     Within one batch the order of a word's totals is not defined.
+    ``spread_partitions`` = 0 spreads the ranges over ``spark.sql.shuffle.partitions``
+    (a shuffle of one small row per chunk); ``None`` expands them in place.
     """
     partial = words.select("word").mapInPandas(_partial_counts, "word string, n long")
     ranges = partial.groupBy("word").transformWithStateInPandas(
         RunningCount(), "word string, lo long, hi long", "Update", "None")
+    if spread_partitions == 0:
+        spread_partitions = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if spread_partitions:
         ranges = ranges.repartition(spread_partitions)
     return ranges.select("word", F.explode(F.sequence("lo", "hi")).alias("total"))

@@ -16,11 +16,25 @@ from spindle.session import ROCKSDB_PROVIDER
 BatchFn = Callable[[DataFrame, int], None]
 
 
+CHANGELOG_KEY = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+
+
 def use_rocksdb_state(spark: SparkSession) -> None:
-    """Select the RocksDB state store (needed by ``transformWithState``)."""
+    """Select the RocksDB state store (needed by ``transformWithState``).
+
+    Changelog checkpointing is switched on unless the session says otherwise: a
+    batch then uploads only its changes instead of a new RocksDB snapshot.
+    """
     key = "spark.sql.streaming.stateStore.providerClass"
     if spark.conf.get(key, None) != ROCKSDB_PROVIDER:
         spark.conf.set(key, ROCKSDB_PROVIDER)
+    if spark.conf.get(CHANGELOG_KEY, None) in (None, "false") and not _explicit(spark, CHANGELOG_KEY):
+        spark.conf.set(CHANGELOG_KEY, "true")
+
+
+def _explicit(spark: SparkSession, key: str) -> bool:
+    """True when the application configured ``key`` itself (left as it is then)."""
+    return spark.sparkContext.getConf().contains(key)
 
 
 def start(df: DataFrame, checkpoint: str, *, foreach_batch: BatchFn | None = None,

@@ -36,11 +36,19 @@ def write_batch_partition(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 def console(df: DataFrame, batch_id: int, rows: int = 10, header: str | None = None) -> None:
-    """SNK-3/4: print a batch header and its first ``rows`` rows (driver output only)."""
+    """SNK-4: print a batch header and the first ``rows`` rows of the batch result.
+
+    Only ``rows`` rows reach the driver (``show`` takes a limit).
+    """
     print(header or f"========= batch {batch_id} =========")
     df.show(rows, truncate=False)
 
 
+def console_writer(rows: int = 10, header_fn: Callable[[int], str] | None = None) -> BatchFn:
+    """SNK-3/4 as a ``foreachBatch`` function printing the first ``rows`` rows per batch."""
+    return lambda df, bid: console(df, bid, rows, header_fn(bid) if header_fn else None)
+
+
 # SNK-5: keyed counters.  Each batch's increments are stored as their own
 # partition; the counter value is the sum over partitions.  Re-applying a batch id
 # replaces that partition, so a replay never counts twice.
