@@ -114,3 +114,19 @@ def test_sliding_windows_stream_equals_batch(spark, tmp_dir):
     batch_words = counts.stream_words(counts.with_event_time(ev, "ts"), keep=("event_time",))
     batch = sorted(tuple(r) for r in counts.sliding_counts(batch_words).collect())
     assert streamed == batch and len(batch) > 0
+
+
+def test_event_time_is_session_zone_free(spark):
+    """timestamp_ntz wall times map to the same UTC instants under any session zone."""
+    from spindle.functions.times import instant_to_ntz, ntz_epoch_millis, ntz_to_instant
+    df = spark.sql("SELECT timestamp_ntz'2024-03-10 02:30:00.123456' AS ts")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        r = df.select(F.unix_micros(ntz_to_instant(F.col("ts"))).alias("us"),
+                      instant_to_ntz(ntz_to_instant(F.col("ts"))).alias("back"),
+                      ntz_epoch_millis(F.col("ts")).alias("ms")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r.us == 1710037800123456 and r.ms == 1710037800123
+    assert str(r.back) == "2024-03-10 02:30:00.123456"
