@@ -5,3 +5,22 @@ DataFrame; nothing is collected to the driver inside the library.
 """
 
 __version__ = "0.1.0"
+
+
+def _ship_by_value() -> None:
+    """Pickle this package's functions and classes by value.
+
+    Python workers (mapInPandas, transformWithStateInPandas) then rebuild the
+    state processor and helpers from the task itself, so executors need no copy
+    of the package on their path.
+    """
+    import sys
+
+    try:
+        from pyspark import cloudpickle
+    except ImportError:  # pragma: no cover
+        return
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_ship_by_value()
