@@ -1,9 +1,11 @@
 """Streaming catalogue queries.
 
 Each query replays ``events`` as a line stream in four slices (``event_id mod 4``;
-a line is the event type, one word), runs the streaming operator with
-``availableNow`` per slice on one checkpoint, and returns a batch DataFrame read
-from the sink it wrote.  All folders live under the session's checkpoint root.
+a line is the event type, one word) and returns a batch DataFrame read from the
+sink it wrote.  Queries whose output is defined per micro-batch restart once per
+slice (slice = batch); the others run continuously over several micro-batches,
+and ``stream_resumed_counts`` stops and restarts half way.  All folders live under
+the session's checkpoint root.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from spindle.functions.times import ntz_epoch_millis
 from spindle.session import scratch_path
 from spindle.sources.tables import load_table
 from spindle.streaming import counts, sinks
-from spindle.streaming.replay import replay_slices
+from spindle.streaming.replay import replay
 from spindle.streaming.run import start, use_rocksdb_state
 
 N_SLICES = 4
@@ -30,13 +32,21 @@ def event_stream_source(spark: SparkSession, sf_dir: str) -> DataFrame:
                      "event_id", "ts", F.col("event_type").alias("value"))
 
 
-def _replay(spark: SparkSession, sf_dir: str, name: str, build) -> None:
-    """Run ``build(stream, checkpoint)`` over every slice of the event stream."""
+# How the slices are fed: one restart per slice (results defined per batch), one
+# continuous run taking one file per trigger, or two runs (a restart half way).
+PER_SLICE = [[s] for s in range(N_SLICES)]
+CONTINUOUS = [list(range(N_SLICES))]
+TWO_RUNS = [list(range(N_SLICES // 2)), list(range(N_SLICES // 2, N_SLICES))]
+
+
+def _replay(spark: SparkSession, sf_dir: str, name: str, build, runs=PER_SLICE) -> str:
+    """Run ``build(stream, checkpoint)`` over the slices of the event stream."""
     use_rocksdb_state(spark)
     root = scratch_path(spark, name)
     checkpoint = f"{root}/checkpoint"
-    replay_slices(spark, event_stream_source(spark, sf_dir), "slice", list(range(N_SLICES)),
-                  f"{root}/input", lambda stream: build(stream, checkpoint))
+    replay(spark, event_stream_source(spark, sf_dir), "slice", runs, f"{root}/input",
+           lambda stream: build(stream, checkpoint),
+           max_files_per_trigger=None if runs is PER_SLICE else 1)
     return root
 
 
@@ -77,7 +87,7 @@ def _windowed(spark: SparkSession, sf_dir: str, name: str, sql_form: bool) -> Da
         return start(agg, ck, output_mode="update", available_now=True,
                      foreach_batch=lambda df, bid: sinks.write_batch_partition(df, out, bid))
 
-    _replay(spark, sf_dir, name, build)
+    _replay(spark, sf_dir, name, build, CONTINUOUS)
     return sinks.latest_per_key(spark, out, ("window_start", "word"), "n")
 
 
@@ -91,24 +101,24 @@ def stream_sliding_counts_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _windowed(spark, sf_dir, "sliding-counts-sql", sql_form=True)
 
 
-def _running(spark: SparkSession, sf_dir: str, name: str):
+def _running(spark: SparkSession, sf_dir: str, name: str, runs):
     out = scratch_path(spark, name)
     root = _replay(spark, sf_dir, name, lambda s, ck: start(
         counts.running_counts(counts.stream_words(s)), ck, output_mode="update",
         available_now=True,
-        foreach_batch=lambda df, bid: sinks.write_batch_partition(df, out, bid)))
+        foreach_batch=lambda df, bid: sinks.write_batch_partition(df, out, bid)), runs)
     return out, f"{root}/checkpoint"
 
 
 def stream_running_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STR-7: a running total for every record."""
-    out, _ = _running(spark, sf_dir, "running-counts")
+    """STR-7: a running total for every record (one run, several micro-batches)."""
+    out, _ = _running(spark, sf_dir, "running-counts", CONTINUOUS)
     return spark.read.parquet(out).select("word", "total")
 
 
 def stream_resumed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STR-8/9: state after four restarts on one checkpoint, read with the state reader."""
-    _, checkpoint = _running(spark, sf_dir, "resumed-counts")
+    """STR-8/9: state after a stop and a restart on one checkpoint, via the state reader."""
+    _, checkpoint = _running(spark, sf_dir, "resumed-counts", TWO_RUNS)
     return counts.state_totals(spark, checkpoint)
 
 
@@ -118,7 +128,7 @@ def stream_count_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     _replay(spark, sf_dir, "count-snapshot", lambda s, ck: start(
         counts.count_snapshot(counts.stream_words(s)), ck, output_mode="complete",
         available_now=True,
-        foreach_batch=lambda df, bid: df.write.mode("overwrite").parquet(out)))
+        foreach_batch=lambda df, bid: df.write.mode("overwrite").parquet(out)), CONTINUOUS)
     return spark.read.parquet(out)
 
 
@@ -127,7 +137,8 @@ def sink_counter_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "counters")
     _replay(spark, sf_dir, "counter-sink", lambda s, ck: start(
         counts.stream_words(s), ck, available_now=True,
-        foreach_batch=lambda df, bid: sinks.increment_counts(counts.count_per_batch(df), path, bid)))
+        foreach_batch=lambda df, bid: sinks.increment_counts(counts.count_per_batch(df), path, bid)),
+        CONTINUOUS)
     return sinks.counter_totals(spark, path).select(F.col("key").alias("word"), "total")
 
 

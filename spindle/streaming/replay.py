@@ -1,11 +1,16 @@
-"""Replay a table as a stream, one slice per micro-batch.
-
-Slice ``s`` of the source is appended to the stream's input folder, then the
-query runs with ``availableNow`` on its checkpoint and stops.  The file source
-remembers which files it has read, so every run picks up exactly the new slice
-as one micro-batch, and every run after the first is a restart that must
-recover offsets and state from the checkpoint (STR-9).  Each slice is written
-by an ordinary parallel DataFrame write.
+"""Replay a table as a stream, in slices.
+
+``runs`` is a list of program runs, each a list of slice ids.  For every run the
+run's slices are appended to the stream's input folder (one ordinary parallel
+write per slice, in order), then the query runs with ``availableNow`` on its
+checkpoint and stops.  The file source remembers which files it has read, so a
+run sees exactly the files added for it, and every run after the first is a
+restart that must recover offsets and state from the checkpoint (STR-9).
+
+* ``[[0], [1], [2], [3]]`` with no file limit: each slice is exactly one
+  micro-batch (needed when results are defined per batch).
+* ``[[0, 1, 2, 3]]`` with ``max_files_per_trigger=1``: one long-running query
+  that takes the files in order over several micro-batches (state stays loaded).
 """
 
 from __future__ import annotations
@@ -21,11 +26,22 @@ from spindle.streaming.run import run_to_end
 RunFn = Callable[[DataFrame], StreamingQuery]
 
 
-def replay_slices(spark: SparkSession, source: DataFrame, slice_col: str, slices: list[int],
-                  input_dir: str, run_once: RunFn, timeout_s: float = 900.0) -> None:
-    """Feed ``source`` to a file stream slice by slice; ``run_once`` starts the query."""
+def replay(spark: SparkSession, source: DataFrame, slice_col: str, runs: list[list[int]],
+           input_dir: str, run_once: RunFn, max_files_per_trigger: int | None = None,
+           timeout_s: float = 1800.0) -> None:
+    """Feed ``source`` to a file stream run by run; ``run_once`` starts the query."""
     schema = source.schema
-    for s in slices:
-        source.filter(F.col(slice_col) == F.lit(s)).write.mode("append").parquet(input_dir)
-        stream = spark.readStream.schema(schema).parquet(input_dir)
-        run_to_end(run_once(stream), timeout_s)
+    for slices in runs:
+        for s in slices:
+            source.filter(F.col(slice_col) == F.lit(s)).write.mode("append").parquet(input_dir)
+        reader = spark.readStream.schema(schema)
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        run_to_end(run_once(reader.parquet(input_dir)), timeout_s)
+
+
+def replay_slices(spark: SparkSession, source: DataFrame, slice_col: str, slices: list[int],
+                  input_dir: str, run_once: RunFn, timeout_s: float = 1800.0) -> None:
+    """One restart per slice; each slice is one micro-batch."""
+    replay(spark, source, slice_col, [[s] for s in slices], input_dir, run_once,
+           timeout_s=timeout_s)
