@@ -31,8 +31,15 @@ def text_lines(text: Column) -> Column:
     ``\\n``, ``\\r`` and ``\\r\\n`` end a line; a terminator at the very end does not
     open one more (empty) line; an empty text has no lines; NULL stays NULL.
     """
-    body = F.regexp_replace(text, r"(?:\r\n|\r|\n)\z", "")
-    return F.when(text == "", _empty()).otherwise(F.split(body, LINE_BREAK, -1))
+    n = F.length(text)
+    cut = (F.when(text.endswith(F.lit("\r\n")), 2)
+             .when(text.endswith(F.lit("\n")) | text.endswith(F.lit("\r")), 1)
+             .otherwise(0))
+    body = F.substring(text, F.lit(1), n - cut)
+    # texts without a carriage return take the single-character split (no regex)
+    lines = F.when(F.instr(body, "\r") > 0, F.split(body, LINE_BREAK, -1)).otherwise(
+        F.split(body, "\n", -1))
+    return F.when(text == "", _empty()).otherwise(lines)
 
 
 def space_tokens(line: Column) -> Column:
