@@ -130,3 +130,22 @@ def test_event_time_is_session_zone_free(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     assert r.us == 1710037800123456 and r.ms == 1710037800123
     assert str(r.back) == "2024-03-10 02:30:00.123456"
+
+
+def test_running_counts_continuous_equals_batch(spark, tmp_dir):
+    """Three slices in one continuous run give every word the totals 1..n."""
+    from spindle.streaming.replay import replay
+    use_rocksdb_state(spark)
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(
+        F.pmod("event_id", F.lit(3)).cast("int").alias("slice"), F.col("event_type").alias("value"))
+    out = f"{tmp_dir}/run"
+    replay(spark, ev, "slice", [[0, 1, 2]], f"{tmp_dir}/in", lambda s: start(
+        counts.running_counts(counts.stream_words(s)), f"{tmp_dir}/ck", output_mode="update",
+        available_now=True, foreach_batch=lambda df, bid: sinks.write_batch_partition(df, out, bid)),
+        max_files_per_trigger=1)
+    got = spark.read.parquet(out)
+    assert got.select("batch_id").distinct().count() == 3
+    streamed = sorted(tuple(r) for r in got.select("word", "total").collect())
+    per_word = {r.value: r.n for r in ev.groupBy("value").agg(F.count(F.lit(1)).alias("n")).collect()}
+    expected = sorted((w, i) for w, n in per_word.items() for i in range(1, n + 1))
+    assert streamed == expected
