@@ -49,6 +49,19 @@ def top_words(counts: DataFrame, k: int) -> DataFrame:
     return counts.orderBy(F.desc("n"), F.asc("word")).limit(k)
 
 
+def count_and_top(words: DataFrame, k: int) -> tuple[DataFrame, Observation]:
+    """Distinct-word count and top-k words from one pass (AGG-11 + TOP-1, CCH-1).
+
+    The grouped counts flow through an ``observe`` node on their way into the
+    top-k, so the number of distinct words is measured by the same job that ranks
+    them; nothing has to be cached for a second action.  ``obs.get`` holds
+    ``n_distinct`` once the returned DataFrame has been evaluated.
+    """
+    obs = Observation("distinct_words")
+    counted = word_counts(words).observe(obs, F.count(F.lit(1)).alias("n_distinct"))
+    return top_words(counted, k), obs
+
+
 def drop_stopwords(words: DataFrame, stopwords: DataFrame) -> DataFrame:
     """JON-1 / FLT-2: words not in the stop list, as a left-anti join.
 

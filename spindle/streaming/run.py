@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from spindle.session import ROCKSDB_PROVIDER
@@ -19,6 +20,15 @@ BatchFn = Callable[[DataFrame, int], None]
 CHANGELOG_KEY = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 
 
+def batch_time_ms() -> Column:
+    """STR-10: the micro-batch's time in epoch milliseconds.
+
+    Inside ``foreachBatch`` every batch is a separate query, so
+    ``current_timestamp()`` is fixed for the whole batch.
+    """
+    return F.unix_millis(F.current_timestamp())
+
+
 def use_rocksdb_state(spark: SparkSession) -> None:
     """Select the RocksDB state store (needed by ``transformWithState``).
 

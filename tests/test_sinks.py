@@ -43,3 +43,14 @@ def test_timed_counts_overwrite_per_batch(spark, tmp_dir):
     sinks.append_timed_counts(df, path, 0)
     rows = [tuple(r) for r in spark.read.parquet(path).select("time_ms", "word", "n").collect()]
     assert rows == [(1000, "a", 2)]
+
+
+def test_batch_time_is_fixed_within_a_batch(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from spindle.streaming.run import batch_time_ms
+    df = spark.range(0, 1000, 1, 8).select(batch_time_ms().alias("t"))
+    path = f"{tmp_dir}/timed"
+    sinks.append_timed_counts(df.select("t", F.lit("w").alias("word"), F.lit(1).alias("n")),
+                              path, 3, time_ms_col="t")
+    assert spark.read.parquet(path).select("time_ms").distinct().count() == 1

@@ -61,3 +61,10 @@ def test_large_stop_list_is_not_broadcast(spark):
     assert sorted(r.word for r in joined.collect()) == ["x"]
     joined_small = words.join(checked_broadcast(big, "word", max_rows=1000), "word", "left_anti")
     assert "BroadcastHashJoin" in _plan(joined_small)
+
+
+def test_count_and_top_one_pass(spark):
+    words = text.split_words(_lines(spark, ["a b a", "c a b d"]))
+    top, obs = text.count_and_top(words, 2)
+    assert [(r.word, r.n) for r in top.collect()] == [("a", 3), ("b", 2)]
+    assert obs.get == {"n_distinct": 4}
