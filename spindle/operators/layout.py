@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spindle.session import cluster_cores
+
 
 def union_all(*frames: DataFrame) -> DataFrame:
     """SET-1: bag union by column name; partition counts add up."""
@@ -35,18 +37,10 @@ def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFr
     least that many splits and is returned untouched, so no shuffle is added
     at scale.  Only plan metadata is read.
     """
-    want = min_partitions or _cluster_cores(df)
+    want = min_partitions or cluster_cores(df.sparkSession)
     return df.repartition(want) if num_partitions(df) < want else df
 
 
-def _cluster_cores(df: DataFrame) -> int:
-    spark = df.sparkSession
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # sessions without a SparkContext handle (e.g. Spark Connect)
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def num_partitions(df: DataFrame) -> int:
     """PRT-4: partition count of the planned DataFrame (metadata only)."""
     return df.rdd.getNumPartitions()

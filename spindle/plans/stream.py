@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindle.functions.times import ntz_epoch_millis
-from spindle.session import scratch_path
+from spindle.session import cluster_cores, scratch_path
 from spindle.sources.tables import load_table
 from spindle.streaming import counts, sinks
 from spindle.streaming.replay import replay
@@ -39,6 +39,12 @@ CONTINUOUS = [list(range(N_SLICES))]
 TWO_RUNS = [list(range(N_SLICES // 2)), list(range(N_SLICES // 2, N_SLICES))]
 
 
+def _start(df: DataFrame, checkpoint: str, **kw):
+    """Catalogue queries start with ``availableNow`` and one state partition per core."""
+    return start(df, checkpoint, available_now=True,
+                 state_partitions=cluster_cores(df.sparkSession), **kw)
+
+
 def _replay(spark: SparkSession, sf_dir: str, name: str, build, runs=PER_SLICE) -> str:
     """Run ``build(stream, checkpoint)`` over the slices of the event stream."""
     use_rocksdb_state(spark)
@@ -57,8 +63,8 @@ def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     def per_batch(df: DataFrame, batch_id: int) -> None:
         sinks.save_batch_dir(counts.count_per_batch(df, keys=("slice",)), prefix, batch_id)
 
-    _replay(spark, sf_dir, "stream-batch-counts", lambda s, ck: start(
-        counts.stream_words(s, keep=("slice",)), ck, foreach_batch=per_batch, available_now=True))
+    _replay(spark, sf_dir, "stream-batch-counts", lambda s, ck: _start(
+        counts.stream_words(s, keep=("slice",)), ck, foreach_batch=per_batch))
     return sinks.read_batch_dirs(spark, prefix, "slice int, word string, n long")
 
 
@@ -70,8 +76,8 @@ def stream_sql_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     def per_batch(df: DataFrame, batch_id: int) -> None:
         sinks.write_batch_partition(counts.sql_per_batch(df, sql), out, batch_id)
 
-    _replay(spark, sf_dir, "stream-sql-counts", lambda s, ck: start(
-        counts.stream_words(s, keep=("slice",)), ck, foreach_batch=per_batch, available_now=True))
+    _replay(spark, sf_dir, "stream-sql-counts", lambda s, ck: _start(
+        counts.stream_words(s, keep=("slice",)), ck, foreach_batch=per_batch))
     return spark.read.parquet(out).select("slice", "word", "total")
 
 
@@ -84,7 +90,7 @@ def _windowed(spark: SparkSession, sf_dir: str, name: str, sql_form: bool) -> Da
             agg = counts.sliding_counts_sql(words, watermark=REPLAY_WATERMARK)
         else:
             agg = counts.sliding_counts(words, watermark=REPLAY_WATERMARK)
-        return start(agg, ck, output_mode="update", available_now=True,
+        return _start(agg, ck, output_mode="update",
                      foreach_batch=lambda df, bid: sinks.write_batch_partition(df, out, bid))
 
     _replay(spark, sf_dir, name, build, CONTINUOUS)
@@ -103,9 +109,8 @@ def stream_sliding_counts_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _running(spark: SparkSession, sf_dir: str, name: str, runs):
     out = scratch_path(spark, name)
-    root = _replay(spark, sf_dir, name, lambda s, ck: start(
+    root = _replay(spark, sf_dir, name, lambda s, ck: _start(
         counts.running_counts(counts.stream_words(s)), ck, output_mode="update",
-        available_now=True,
         foreach_batch=lambda df, bid: sinks.write_batch_partition(df, out, bid)), runs)
     return out, f"{root}/checkpoint"
 
@@ -125,9 +130,8 @@ def stream_resumed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_count_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR-8: cumulative counts of all words, complete mode, snapshot rewritten each batch."""
     out = scratch_path(spark, "count-snapshot")
-    _replay(spark, sf_dir, "count-snapshot", lambda s, ck: start(
+    _replay(spark, sf_dir, "count-snapshot", lambda s, ck: _start(
         counts.count_snapshot(counts.stream_words(s)), ck, output_mode="complete",
-        available_now=True,
         foreach_batch=lambda df, bid: df.write.mode("overwrite").parquet(out)), CONTINUOUS)
     return spark.read.parquet(out)
 
@@ -135,8 +139,8 @@ def stream_count_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_counter_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-5/8: per-batch counts applied as idempotent increments to a keyed counter table."""
     path = scratch_path(spark, "counters")
-    _replay(spark, sf_dir, "counter-sink", lambda s, ck: start(
-        counts.stream_words(s), ck, available_now=True,
+    _replay(spark, sf_dir, "counter-sink", lambda s, ck: _start(
+        counts.stream_words(s), ck,
         foreach_batch=lambda df, bid: sinks.increment_counts(counts.count_per_batch(df), path, bid)),
         CONTINUOUS)
     return sinks.counter_totals(spark, path).select(F.col("key").alias("word"), "total")
@@ -157,8 +161,8 @@ def sink_timed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         finally:
             agg.unpersist()
 
-    _replay(spark, sf_dir, "timed-sink", lambda s, ck: start(
-        counts.stream_words(s, keep=("ts",)), ck, foreach_batch=per_batch, available_now=True))
+    _replay(spark, sf_dir, "timed-sink", lambda s, ck: _start(
+        counts.stream_words(s, keep=("ts",)), ck, foreach_batch=per_batch))
     return spark.read.parquet(path).select("time_ms", "word", "n")
 
 

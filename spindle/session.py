@@ -39,6 +39,15 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
     return spark
 
 
+def cluster_cores(spark: SparkSession) -> int:
+    """Task slots of the cluster (``defaultParallelism``), or the shuffle setting
+    for sessions without a SparkContext handle (e.g. Spark Connect)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir`` (or the context's checkpoint dir).
 

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from spindle.functions.times import instant_to_ntz, ntz_to_instant
+from spindle.session import cluster_cores
 from spindle.functions.tokens import space_tokens
 
 # Largest run of consecutive running totals emitted as one row before expansion;
@@ -134,14 +135,14 @@ def running_counts(words: DataFrame, spread_partitions: int | None = 0) -> DataF
     round-robin spread -> ``explode(sequence(lo, hi))``.  State grows with the
     vocabulary; there is no timeout, like the state function it replaces.
     Within one batch the order of a word's totals is not defined.
-    ``spread_partitions`` = 0 spreads the ranges over ``spark.sql.shuffle.partitions``
-    (a shuffle of one small row per chunk); ``None`` expands them in place.
+    ``spread_partitions`` = 0 spreads the ranges over the cluster's cores (a
+    shuffle of one small row per chunk); ``None`` expands them in place.
     """
     partial = words.select("word").mapInPandas(_partial_counts, "word string, n long")
     ranges = partial.groupBy("word").transformWithStateInPandas(
         RunningCount(), "word string, lo long, hi long", "Update", "None")
     if spread_partitions == 0:
-        spread_partitions = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        spread_partitions = cluster_cores(words.sparkSession)
     if spread_partitions:
         ranges = ranges.repartition(spread_partitions)
     return ranges.select("word", F.explode(F.sequence("lo", "hi")).alias("total"))

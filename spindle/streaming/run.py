@@ -50,12 +50,15 @@ def _explicit(spark: SparkSession, key: str) -> bool:
 def start(df: DataFrame, checkpoint: str, *, foreach_batch: BatchFn | None = None,
           output_mode: str = "append", processing_time: str | None = None,
           available_now: bool = False, fmt: str | None = None, options: dict | None = None,
-          query_name: str | None = None) -> StreamingQuery:
+          query_name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """Start ``df`` as a streaming query.
 
     ``processing_time`` (e.g. ``"60 seconds"``) gives a fixed micro-batch cadence;
     ``available_now`` processes what is there and stops (used by tests and replays).
     Either a ``foreach_batch`` function or a sink ``fmt`` is used.
+    ``state_partitions`` fixes the number of state-store partitions of a new
+    checkpoint (stateful operators keep it for life; a restart reuses the stored
+    value).  The session's own shuffle setting is restored once the query starts.
     """
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if query_name:
@@ -70,7 +73,16 @@ def start(df: DataFrame, checkpoint: str, *, foreach_batch: BatchFn | None = Non
         w = w.trigger(availableNow=True)
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
-    return w.start()
+    if not state_partitions:
+        return w.start()
+    spark = df.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return w.start()  # the query takes a copy of the session configuration here
+    finally:
+        spark.conf.set(key, before)
 
 
 def run_to_end(query: StreamingQuery, timeout_s: float | None = None) -> None:
