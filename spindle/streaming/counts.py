@@ -62,16 +62,28 @@ def with_event_time(df: DataFrame, ts_col: str, out: str = "event_time") -> Data
     return df.withColumn(out, ntz_to_instant(col) if isinstance(field, T.TimestampNTZType) else col)
 
 
+def with_arrival_time(df: DataFrame, out: str = "event_time") -> DataFrame:
+    """Stamp rows with their arrival time, for windows over processing time.
+
+    In a stream, ``current_timestamp()`` is the micro-batch's time, so every row
+    of a batch falls into the windows of the batch that read it.
+    """
+    return df.withColumn(out, F.current_timestamp())
+
+
 def sliding_counts(words: DataFrame, time_col: str = "event_time", length: str = "5 minutes",
                    slide: str = "60 seconds", watermark: str | None = None,
-                   keys: tuple[str, ...] = ()) -> DataFrame:
+                   keys: tuple[str, ...] = (), start_time: str | None = None) -> DataFrame:
     """STR-4/5: word counts per sliding window ``[start, start+length)``.
 
     With ``watermark`` the state of closed windows is dropped (append/update
     modes); the watermark must exceed the input's event-time disorder.
+    ``start_time`` shifts the window alignment (e.g. ``"30 seconds"``).
     """
     src = words.withWatermark(time_col, watermark) if watermark else words
-    agg = src.groupBy(F.window(time_col, length, slide).alias("w"), *keys, "word").agg(
+    win = (F.window(time_col, length, slide, start_time) if start_time
+           else F.window(time_col, length, slide))
+    agg = src.groupBy(win.alias("w"), *keys, "word").agg(
         F.count(F.lit(1)).alias("n"))
     return agg.select(instant_to_ntz(F.col("w.start")).alias("window_start"), *keys, "word", "n")
 

@@ -1,0 +1,66 @@
+"""Property tests: column expressions against small Python models of the same rules."""
+
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from spindle.functions.tokens import clean_tokens, space_tokens, text_lines
+
+ALPHABET = st.sampled_from(list("ab ") + ["\t", "\n", "\r", "'", "-", ".", "\x01", "\x0b", "é"])
+LINES = st.lists(st.text(alphabet=ALPHABET, max_size=12), min_size=1, max_size=25)
+
+
+def model_space_split(line: str) -> list[str]:
+    """Split on ' ' and drop trailing empty strings, keeping [''] for an empty line."""
+    if line == "":
+        return [""]
+    parts = line.split(" ")
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def model_clean(line: str) -> list[str]:
+    """Delete '.,:?!- and the quote, split on [ \\t\\n\\x0b\\f\\r], trim chars <= U+0020, drop empties."""
+    no_punct = re.sub(r"['.,:?!-]", "", line)
+    out = []
+    for tok in re.split(r"[ \t\n\x0b\f\r]", no_punct):
+        t = tok.strip("".join(chr(c) for c in range(0x21)))
+        if t:
+            out.append(t)
+    return out
+
+
+def model_lines(text: str) -> list[str]:
+    """Text-file lines: \\n, \\r, \\r\\n end a line; no empty line after a final terminator."""
+    if text == "":
+        return []
+    parts = re.split(r"\r\n|\r|\n", text)
+    if parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def _apply(spark, fn, values):
+    df = spark.createDataFrame(list(enumerate(values)), "i int, v string")
+    return [r[0] for r in df.orderBy("i").select(fn(F.col("v"))).collect()]
+
+
+@settings(max_examples=15, deadline=None)
+@given(LINES)
+def test_space_tokens_model(spark, lines):
+    assert _apply(spark, space_tokens, lines) == [model_space_split(x) for x in lines]
+
+
+@settings(max_examples=15, deadline=None)
+@given(LINES)
+def test_clean_tokens_model(spark, lines):
+    assert _apply(spark, clean_tokens, lines) == [model_clean(x) for x in lines]
+
+
+@settings(max_examples=15, deadline=None)
+@given(LINES)
+def test_text_lines_model(spark, texts):
+    assert _apply(spark, text_lines, texts) == [model_lines(x) for x in texts]

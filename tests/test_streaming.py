@@ -149,3 +149,14 @@ def test_running_counts_continuous_equals_batch(spark, tmp_dir):
     per_word = {r.value: r.n for r in ev.groupBy("value").agg(F.count(F.lit(1)).alias("n")).collect()}
     expected = sorted((w, i) for w, n in per_word.items() for i in range(1, n + 1))
     assert streamed == expected
+
+
+def test_window_alignment_and_arrival_time(spark):
+    df = spark.sql("SELECT timestamp'2024-01-01 00:02:10' AS event_time, 'a' AS word")
+    plain = sorted(str(r.window_start) for r in counts.sliding_counts(df).collect())
+    shifted = sorted(str(r.window_start) for r in
+                     counts.sliding_counts(df, start_time="30 seconds").collect())
+    assert plain[0] == "2023-12-31 23:58:00" and len(plain) == 5
+    assert shifted[0] == "2023-12-31 23:57:30" and len(shifted) == 5
+    arrived = counts.with_arrival_time(spark.range(3)).select("event_time").distinct().count()
+    assert arrived == 1
