@@ -104,14 +104,33 @@ def sliding_counts_sql(words: DataFrame, time_col: str = "event_time", length: s
     return out.select(instant_to_ntz(F.col("w_start")).alias("window_start"), "word", "n")
 
 
+# Buffered per-batch counts are folded together once they exceed this many rows
+# (and at least twice the folded size), keeping memory near the partition's
+# vocabulary and the total work near-linear in the input.
+FOLD_ROWS = 1_000_000
+
+
+def _fold(parts: list[pd.Series]) -> pd.Series:
+    return pd.concat(parts).groupby(level=0, sort=False, dropna=False).sum()
+
+
 def _partial_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Per-partition word counts (map-side combine ahead of the state shuffle)."""
-    acc: pd.Series | None = None
+    parts: list[pd.Series] = []
+    buffered = folded = 0
     for pdf in batches:
         c = pdf.groupby("word", dropna=False, sort=False).size()
-        acc = c if acc is None else acc.add(c, fill_value=0)
-    if acc is not None and len(acc):
-        yield pd.DataFrame({"word": acc.index.astype(object), "n": acc.to_numpy().astype("int64")})
+        parts.append(c)
+        buffered += len(c)
+        if buffered > max(FOLD_ROWS, 2 * folded):
+            parts = [_fold(parts)]
+            buffered = folded = len(parts[0])
+    if parts:
+        acc = _fold(parts)
+        if len(acc):
+            words = pd.Series(acc.index, dtype=object)
+            yield pd.DataFrame({"word": words.where(words.notna(), None),
+                                "n": acc.to_numpy().astype("int64")})
 
 
 class RunningCount(StatefulProcessor):

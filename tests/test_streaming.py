@@ -160,3 +160,14 @@ def test_window_alignment_and_arrival_time(spark):
     assert shifted[0] == "2023-12-31 23:57:30" and len(shifted) == 5
     arrived = counts.with_arrival_time(spark.range(3)).select("event_time").distinct().count()
     assert arrived == 1
+
+
+def test_partial_counts_fold_is_exact(monkeypatch):
+    """The bounded folding of per-batch counts gives the same totals as one big count."""
+    import pandas as pd
+    batches = [pd.DataFrame({"word": ["a", "b", "a", f"u{i}"]}) for i in range(50)]
+    expected = pd.concat(batches)["word"].value_counts().to_dict()
+    for fold_rows in (3, 1_000_000):
+        monkeypatch.setattr(counts, "FOLD_ROWS", fold_rows)
+        out = next(counts._partial_counts(iter(batches)))
+        assert dict(zip(out["word"], out["n"])) == expected
