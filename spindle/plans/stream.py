@@ -22,8 +22,15 @@ from spindle.streaming.run import start, use_rocksdb_state
 
 N_SLICES = 4
 # Replay slices interleave the whole time range, so the watermark must cover the
-# table's time span (30 days in the test data) for no row to count as late.
-REPLAY_WATERMARK = "40 days"
+# table's time span for no row to count as late; at least this many days are used.
+MIN_REPLAY_WATERMARK_DAYS = 40
+
+
+def replay_watermark(spark: SparkSession, sf_dir: str) -> str:
+    """A watermark delay longer than the events' time span (one scalar aggregate)."""
+    ev = load_table(spark, sf_dir, "events", "ts")
+    span = ev.agg(F.datediff(F.max("ts"), F.min("ts")).alias("d")).first()["d"] or 0
+    return f"{max(MIN_REPLAY_WATERMARK_DAYS, int(span) + 2)} days"
 
 
 def event_stream_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,13 +90,14 @@ def stream_sql_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _windowed(spark: SparkSession, sf_dir: str, name: str, sql_form: bool) -> DataFrame:
     out = scratch_path(spark, name)
+    delay = replay_watermark(spark, sf_dir)
 
     def build(stream: DataFrame, ck: str):
         words = counts.stream_words(counts.with_event_time(stream, "ts"), keep=("event_time",))
         if sql_form:
-            agg = counts.sliding_counts_sql(words, watermark=REPLAY_WATERMARK)
+            agg = counts.sliding_counts_sql(words, watermark=delay)
         else:
-            agg = counts.sliding_counts(words, watermark=REPLAY_WATERMARK)
+            agg = counts.sliding_counts(words, watermark=delay)
         return _start(agg, ck, output_mode="update",
                      foreach_batch=lambda df, bid: sinks.write_batch_partition(df, out, bid))
 

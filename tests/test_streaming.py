@@ -97,14 +97,15 @@ def test_running_counts_hot_word_chunks(spark, tmp_dir, monkeypatch):
 
 def test_sliding_windows_stream_equals_batch(spark, tmp_dir):
     """Replaying events in 2 slices gives the same windows as the batch form."""
-    from spindle.plans.stream import REPLAY_WATERMARK
+    from spindle.plans.stream import replay_watermark
+    delay = replay_watermark(spark, "/root/testdata/sf0.001")
     ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(
         F.pmod("event_id", F.lit(2)).cast("int").alias("slice"), "ts", F.col("event_type").alias("value"))
     out = f"{tmp_dir}/win"
 
     def build(stream):
         words = counts.stream_words(counts.with_event_time(stream, "ts"), keep=("event_time",))
-        return start(counts.sliding_counts(words, watermark=REPLAY_WATERMARK), f"{tmp_dir}/ck",
+        return start(counts.sliding_counts(words, watermark=delay), f"{tmp_dir}/ck",
                      output_mode="update", available_now=True,
                      foreach_batch=lambda df, bid: sinks.write_batch_partition(df, out, bid))
 
