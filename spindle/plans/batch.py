@@ -95,6 +95,15 @@ def layout_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.layout_sizes([("union", unioned), ("coalesce", merged), ("repartition", spread)])
 
 
+def partition_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRT-3/4: per-partition report of order keys placed by ``key mod n`` (n = 10 x scale unit)."""
+    orders = _order_keys(spark, sf_dir)
+    unit = max(1, -(-orders.count() // LAYOUT_ROWS_PER_UNIT))
+    n = 10 * unit
+    placed = orders.repartitionById(n, F.pmod("id", F.lit(n)).cast("int"))
+    return layout.partition_report(placed, "id")
+
+
 def saved_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """avg_by_key saved as ``(key,value)`` text lines, then read back."""
     path = scratch_path(spark, "saved-pairs")
@@ -118,5 +127,6 @@ BATCH_QUERIES = {
     "even_head": even_head,
     "union_keys": union_keys,
     "layout_sizes": layout_sizes,
+    "partition_rows": partition_rows,
     "saved_pairs": saved_pairs,
 }
