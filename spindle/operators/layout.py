@@ -1,7 +1,8 @@
 """Union and partition layout (SET-1, PRT-1..4).
 
-Only partition metadata (``getNumPartitions``) reaches the driver; row contents
-stay on the executors and are summarised per partition.
+Partitions are inspected by a per-partition pass (``mapInArrow`` runs once per
+partition, empty ones included): each task summarises its own rows, so row
+contents stay on the executors and only one small row per partition is produced.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spindle.session import cluster_cores
 
@@ -42,36 +44,81 @@ def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFr
 
 
 def num_partitions(df: DataFrame) -> int:
-    """PRT-4: partition count of the planned DataFrame (metadata only)."""
+    """PRT-4: partition count of the planned DataFrame.
+
+    Plan metadata for scans and narrow plans; with adaptive execution a plan that
+    contains shuffles is finalised first (its shuffle stages run), so reports over
+    shuffled data use :func:`partition_counts` instead.
+    """
     return df.rdd.getNumPartitions()
 
 
+def _rows_per_partition(batches):
+    import pyarrow as pa
+
+    n = 0
+    for b in batches:
+        n += b.num_rows
+    yield pa.RecordBatch.from_pydict({"n_rows": [n]}, schema=pa.schema([("n_rows", pa.int64())]))
+
+
+def _summary_per_partition(arrow_type):
+    def summarise(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        n, lo, hi = 0, None, None
+        for b in batches:
+            n += b.num_rows
+            mm = pc.min_max(b.column(0))
+            bmin, bmax = mm["min"].as_py(), mm["max"].as_py()
+            if bmin is not None:
+                lo = bmin if lo is None else min(lo, bmin)
+                hi = bmax if hi is None else max(hi, bmax)
+        schema = pa.schema([("n_rows", pa.int64()), ("min_value", arrow_type),
+                            ("max_value", arrow_type)])
+        yield pa.RecordBatch.from_pydict({"n_rows": [n], "min_value": [lo], "max_value": [hi]},
+                                         schema=schema)
+    return summarise
+
+
+def partition_counts(df: DataFrame) -> DataFrame:
+    """``(partition, n_rows)`` for every partition of ``df``, empty ones included.
+
+    A per-partition pass (the DataFrame form of listing partitions): each task
+    reports its own row count; only a constant column is handed to Python.
+    """
+    return (df.select(F.lit(True).alias("_x"))
+              .mapInArrow(_rows_per_partition, "n_rows long")
+              .select(F.spark_partition_id().alias("partition"), "n_rows"))
+
+
 def partition_report(df: DataFrame, col: str = "id") -> DataFrame:
     """PRT-3: ``(partition, n_rows, min_value, max_value)`` for every partition.
 
-    Empty partitions are included (right join to the list of partition ids), as
-    listing every partition does.  Values are summarised, never gathered.
+    Every partition reports itself, empty ones too (with NULL bounds), in one
+    pass; values are summarised inside the task, never gathered.
     """
-    spark = df.sparkSession
-    parts = spark.range(num_partitions(df)).select(F.col("id").cast("int").alias("partition"))
-    stats = (df.select(F.spark_partition_id().alias("partition"), F.col(col).alias("_v"))
-               .groupBy("partition")
-               .agg(F.count(F.lit(1)).alias("n_rows"),
-                    F.min("_v").alias("min_value"), F.max("_v").alias("max_value")))
-    return (parts.join(stats, "partition", "left")
-                 .select("partition", F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
-                         "min_value", "max_value"))
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    dtype = df.schema[col].dataType
+    return (df.select(F.col(col))
+              .mapInArrow(_summary_per_partition(to_arrow_type(dtype)),
+                          T.StructType([T.StructField("n_rows", T.LongType()),
+                                        T.StructField("min_value", dtype),
+                                        T.StructField("max_value", dtype)]))
+              .select(F.spark_partition_id().alias("partition"), "n_rows", "min_value", "max_value"))
 
 
 def layout_sizes(stages: list[tuple[str, DataFrame]]) -> DataFrame:
     """``(stage, n_partitions, n_rows)`` for each named stage of a layout pipeline.
 
-    Row counts are aggregates evaluated on the executors; only the partition counts
-    are read from plan metadata.
+    All stages are summarised in one job (their shared shuffles are planned once
+    and reused); partitions are counted from the per-partition pass, so empty
+    partitions count and nothing runs ahead of the job.
     """
-    rows = [df.agg(F.count(F.lit(1)).alias("n_rows"))
-              .select(F.lit(name).alias("stage"),
-                      F.lit(num_partitions(df)).cast("bigint").alias("n_partitions"),
-                      "n_rows")
+    rows = [partition_counts(df).agg(F.count(F.lit(1)).alias("n_partitions"),
+                                     F.sum("n_rows").alias("n_rows"))
+              .select(F.lit(name).alias("stage"), "n_partitions", "n_rows")
             for name, df in stages]
     return union_all(*rows)
