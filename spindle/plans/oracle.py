@@ -87,10 +87,11 @@ UNION ALL SELECT 'coalesce', 3 * unit, n FROM u
 UNION ALL SELECT 'repartition', 10 * unit, n FROM u""",
     "partition_rows": """
 WITH u AS (SELECT CAST(10 * greatest(1, ceil(count(*) / 50000000)) AS BIGINT) AS n FROM orders),
-     parts AS (SELECT CAST(i AS INTEGER) AS partition FROM u, range(0, (SELECT n FROM u)) t(i)),
-     stats AS (SELECT CAST(((o_orderkey % n) + n) % n AS INTEGER) AS partition, count(*) AS n_rows,
-                      min(o_orderkey) AS min_value, max(o_orderkey) AS max_value
-               FROM orders, u GROUP BY 1)
+     parts AS (SELECT CAST(i AS INTEGER) AS partition FROM range(0, (SELECT n FROM u)) t(i)),
+     stats AS (SELECT CAST(((o_orderkey % (SELECT n FROM u)) + (SELECT n FROM u)) % (SELECT n FROM u)
+                           AS INTEGER) AS partition,
+                      count(*) AS n_rows, min(o_orderkey) AS min_value, max(o_orderkey) AS max_value
+               FROM orders GROUP BY 1)
 SELECT p.partition, coalesce(s.n_rows, 0) AS n_rows, s.min_value, s.max_value
 FROM parts p LEFT JOIN stats s USING (partition)""",
     "saved_pairs": """
