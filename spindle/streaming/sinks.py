@@ -8,6 +8,7 @@ DataFrame writes: one task per partition, no connection handling in user code.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,14 +19,36 @@ BatchFn = Callable[[DataFrame, int], None]
 
 
 def save_batch_dir(df: DataFrame, prefix: str, batch_id: int, sep: str = "\t") -> None:
-    """SNK-2: write one batch as ``sep``-separated text lines into ``<prefix>-<batch_id>``."""
-    df.write.mode("overwrite").option("sep", sep).csv(f"{prefix}-{batch_id}")
+    """SNK-2: write one batch as raw ``sep``-joined text lines into ``<prefix>-<batch_id>``.
+
+    Lines are written as they are (no quoting), like a key/value text output
+    format; NULL fields are written as empty strings.
+    """
+    line = F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns])
+    df.select(line.alias("value")).write.mode("overwrite").text(f"{prefix}-{batch_id}")
 
 
 def read_batch_dirs(spark: SparkSession, prefix: str, schema: T.StructType | str,
-                    sep: str = "\t") -> DataFrame:
-    """Read every ``<prefix>-<batch_id>`` folder back as one table."""
-    return spark.read.schema(schema).option("sep", sep).csv(f"{prefix}-*")
+                    free_col: str | None = None, sep: str = "\t") -> DataFrame:
+    """Read every ``<prefix>-<batch_id>`` folder back as one typed table.
+
+    One column (``free_col``, by default the first string column) may itself
+    contain ``sep``; the fields before it are taken from the start of the line and
+    the fields after it from the end.
+    """
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    names = [f.name for f in schema.fields]
+    if free_col is None:
+        free_col = next((f.name for f in schema.fields if isinstance(f.dataType, T.StringType)),
+                        names[-1])
+    k = names.index(free_col)
+    s = re.escape(sep)
+    fixed = f"([^{s}]*)"
+    pattern = "^" + s.join([fixed] * k + ["(.*)"] + [fixed] * (len(names) - k - 1)) + "$"
+    lines = spark.read.text(f"{prefix}-*")
+    return lines.select(*[F.regexp_extract("value", pattern, i + 1).cast(f.dataType).alias(f.name)
+                          for i, f in enumerate(schema.fields)])
 
 
 def write_batch_partition(df: DataFrame, path: str, batch_id: int) -> None:

@@ -54,3 +54,15 @@ def test_batch_time_is_fixed_within_a_batch(spark, tmp_dir):
     sinks.append_timed_counts(df.select("t", F.lit("w").alias("word"), F.lit(1).alias("n")),
                               path, 3, time_ms_col="t")
     assert spark.read.parquet(path).select("time_ms").distinct().count() == 1
+
+
+def test_batch_dirs_round_trip_tabs_and_quotes(spark, tmp_dir):
+    prefix = f"{tmp_dir}/out"
+    df = spark.createDataFrame([(1, "a\tb", 2), (1, 'say "hi"', 1), (1, "", 3)],
+                               "slice int, word string, n long")
+    sinks.save_batch_dir(df, prefix, 0)
+    assert sorted(r.value for r in spark.read.text(f"{prefix}-0").collect()) == \
+        ["1\t\t3", "1\ta\tb\t2", '1\tsay "hi"\t1']
+    back = sorted(tuple(r) for r in
+                  sinks.read_batch_dirs(spark, prefix, "slice int, word string, n long").collect())
+    assert back == [(1, "", 3), (1, "a\tb", 2), (1, 'say "hi"', 1)]
