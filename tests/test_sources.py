@@ -42,3 +42,19 @@ def test_text_file_stream_and_console(spark, tmp_dir, capsys):
     run_to_end(q, 120)
     assert sorted(seen.values()) == sorted([[("a", 2), ("b", 1)], [("", 1), ("a", 1), ("c", 1)]])
     assert "========= batch 0 =========" in capsys.readouterr().out
+
+
+def test_processing_time_trigger_and_console_sink(spark, tmp_dir):
+    """STR-1 cadence with Spark's console sink (SNK-3); the query is stopped by the caller."""
+    import os
+    os.makedirs(f"{tmp_dir}/in")
+    _write(f"{tmp_dir}/in/1.txt", b"x y x\n")
+    words = counts.count_per_batch(counts.stream_words(stream_lines(spark, f"{tmp_dir}/in")))
+    q = start(words, f"{tmp_dir}/ck", output_mode="complete", processing_time="1 second",
+              fmt="console", options={"numRows": 10, "truncate": "false"}, query_name="cadence_test")
+    try:
+        q.processAllAvailable()
+        assert q.isActive and sum(p["numInputRows"] for p in q.recentProgress) == 1  # one line
+        assert q.name == "cadence_test"
+    finally:
+        q.stop()
