@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindle.operators.layout import spread_if_narrow
-from spindle.sources.files import document_lines, stopword_frame
+from spindle.session import scratch_path
+from spindle.sources.files import document_lines, read_stopwords, stopword_frame
 from spindle.sources.tables import load_table
 
 # The small stop list the catalogue queries use (a subset of a
@@ -28,8 +29,22 @@ def prose_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_lines(spread_if_narrow(load_table(spark, sf_dir, "documents", "text")))
 
 
+_STOPWORD_FILES: dict[str, str] = {}
+
+
 def catalog_stopwords(spark: SparkSession) -> DataFrame:
-    return stopword_frame(spark, CATALOG_STOPWORDS)
+    """The catalogue's stop list, read as a stop-word file (SRC-4).
+
+    The fixed list is written once per application as a one-word-per-line text
+    file in the shared folder, then read like any stop-word file.
+    """
+    app = spark.sparkContext.applicationId
+    path = _STOPWORD_FILES.get(app)
+    if path is None:
+        path = scratch_path(spark, "stopwords")
+        stopword_frame(spark, CATALOG_STOPWORDS).coalesce(1).write.text(path)
+        _STOPWORD_FILES[app] = path
+    return read_stopwords(spark, path)
 
 
 def status_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
