@@ -31,6 +31,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
         .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+        # unload state stores of stopped queries soon (many short replays per session)
+        .config("spark.sql.streaming.stateStore.maintenanceInterval", "5s")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
