@@ -38,12 +38,16 @@ def catalog_stopwords(spark: SparkSession) -> DataFrame:
     The fixed list is written once per application as a one-word-per-line text
     file in the shared folder, then read like any stop-word file.
     """
-    app = spark.sparkContext.applicationId
-    path = _STOPWORD_FILES.get(app)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # sessions without a SparkContext handle: write per call
+        app = None
+    path = _STOPWORD_FILES.get(app) if app else None
     if path is None:
         path = scratch_path(spark, "stopwords")
         stopword_frame(spark, CATALOG_STOPWORDS).coalesce(1).write.text(path)
-        _STOPWORD_FILES[app] = path
+        if app:
+            _STOPWORD_FILES[app] = path
     return read_stopwords(spark, path)
 
 
