@@ -68,3 +68,11 @@ def test_count_and_top_one_pass(spark):
     top, obs = text.count_and_top(words, 2)
     assert [(r.word, r.n) for r in top.collect()] == [("a", 3), ("b", 2)]
     assert obs.get == {"n_distinct": 4}
+
+
+def test_broadcast_guard_byte_limit(spark):
+    from spindle.operators.joins import checked_broadcast
+    wide = spark.createDataFrame([("x" * 1000,), ("y" * 1000,)], "word string")
+    # 2000 key bytes: over a 1500-byte limit the side comes back without a hint
+    assert checked_broadcast(wide, "word", max_bytes=1500) is wide
+    assert checked_broadcast(wide, "word", max_bytes=4000) is not wide
