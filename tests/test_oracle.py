@@ -21,3 +21,8 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     rows = df.collect()
     assert df.columns == ["word", "n"] and len(rows) == 5
+
+
+def test_every_query_has_oracle_sql():
+    import __spark_entry__ as E
+    assert set(E.queries()) == set(E.oracle_sql())
