@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spindle.llm import chat, packing, sharding
+from spindle.llm import chat, packing, quality, sharding
 from spindle.sources.tables import load_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -31,10 +31,17 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.document_shards(load_table(spark, sf_dir, "documents", "doc_id", "text"), n_shards=24)
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    return quality.score_documents(load_table(spark, sf_dir, "documents", "doc_id", "text"),
+                                   load_table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_chat_format": op1_chat_format,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op7_sharding": op7_sharding,
+    "op9_quality_classifier": op9_quality_classifier,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
