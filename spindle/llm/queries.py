@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from spindle.llm import chat, packing, quality, sharding
+from spindle.llm import ann, chat, packing, quality, sharding
 from spindle.sources.tables import load_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +22,12 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.format_conversations(turns.unionByName(probe)))
 
 
+def op3_multi_index_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors of every vector whose id is divisible by 50."""
+    table = load_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return ann.nearest(table, F.col("vec_id") % 50 == 0, k=5)
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its bin."""
     return packing.pack_documents(load_table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -39,6 +46,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, QueryFn] = {
     "op1_chat_format": op1_chat_format,
+    "op3_multi_index_search": op3_multi_index_search,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op7_sharding": op7_sharding,
     "op9_quality_classifier": op9_quality_classifier,
