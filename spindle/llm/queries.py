@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindle.llm import ann, chat, packing, quality, sharding
+from spindle.llm import ann, bagminhash, chat, packing, quality, sharding
 from spindle.sources.tables import load_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -44,12 +44,20 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    load_table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
+def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document: ``class_id`` is the least doc_id of its group of links,
+    ``copies_id`` the least doc_id with the same shingle multiset."""
+    grouped = bagminhash.near_duplicates(load_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return grouped.select("doc_id", F.col("group_doc").alias("class_id"), F.col("class_doc").alias("copies_id"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_chat_format": op1_chat_format,
     "op3_multi_index_search": op3_multi_index_search,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op7_sharding": op7_sharding,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_bag_minhash": op10_bag_minhash,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
