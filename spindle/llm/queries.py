@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindle.llm import ann, bagminhash, chat, packing, quality, sharding
+from spindle.llm import ann, bagminhash, chat, linededup, packing, quality, sharding
 from spindle.sources.tables import load_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,11 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.format_conversations(turns.unionByName(probe)))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line numbers that every document loses to earlier documents."""
+    return linededup.document_losses(load_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op3_multi_index_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 nearest vectors of every vector whose id is divisible by 50."""
     table = load_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
@@ -53,6 +58,7 @@ def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, QueryFn] = {
     "op1_chat_format": op1_chat_format,
+    "op2_line_dedup": op2_line_dedup,
     "op3_multi_index_search": op3_multi_index_search,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op7_sharding": op7_sharding,
