@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindle.llm import ann, bagminhash, chat, linededup, packing, quality, sharding
+from spindle.llm import ann, bagminhash, chat, decontaminate, linededup, packing, quality, sharding
 from spindle.sources.tables import load_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,12 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(load_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that match, with the best window's similarity."""
+    return decontaminate.contaminated(load_table(spark, sf_dir, "documents", "doc_id", "text"),
+                                      load_table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shard and slot of every document, 24 shards."""
     return sharding.document_shards(load_table(spark, sf_dir, "documents", "doc_id", "text"), n_shards=24)
@@ -61,6 +67,7 @@ QUERIES: dict[str, QueryFn] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_multi_index_search": op3_multi_index_search,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_bag_minhash": op10_bag_minhash,
