@@ -85,7 +85,7 @@ def spanning(similar: np.ndarray, left: list[int], right: list[int]) -> list[tup
     return links
 
 
-def _units(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+def sorted_units(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """The sorted rows of each key, one table at a time."""
     waiting: list[pa.RecordBatch] = []
     for batch in batches:
@@ -117,7 +117,7 @@ def _payloads(column: pa.ChunkedArray) -> list:
 def _search(test: Similar):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
-        for unit in _units(batches, ["grp", "row_block", "all_block"]):
+        for unit in sorted_units(batches, ["grp", "row_block", "all_block"]):
             asks = unit.column("asks").to_numpy()
             ids = unit.column("id").to_numpy()
             payload = _payloads(unit.column("payload"))

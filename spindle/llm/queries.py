@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindle.llm import ann, bagminhash, chat, decontaminate, linededup, packing, quality, sharding
+from spindle.llm import ann, bagminhash, chat, decontaminate, linededup, packing, quality, sharding, substrings
 from spindle.sources.tables import load_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,11 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.document_shards(load_table(spark, sf_dir, "documents", "doc_id", "text"), n_shards=24)
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated 400-byte strings."""
+    return substrings.remove_repeats(load_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality score of every document."""
     return quality.score_documents(load_table(spark, sf_dir, "documents", "doc_id", "text"),
@@ -69,6 +74,7 @@ QUERIES: dict[str, QueryFn] = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_bag_minhash": op10_bag_minhash,
 }

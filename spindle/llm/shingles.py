@@ -25,7 +25,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers["up"]) < n:
         size = 1 << max(16, (n - 1).bit_length())
         for name, base in (("up", _BASE), ("down", _INVERSE)):
@@ -43,7 +43,7 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     inside = np.concatenate([[False], _WORD[raw]])
     edge = np.flatnonzero(inside[1:] != inside[:-1])
     first, last = edge[0::2], edge[1::2]
-    up, down = _power_tables(len(raw) + 1)
+    up, down = power_tables(len(raw) + 1)
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:len(raw)])])
     words = mix((total[last] - total[first]) * down[first])
     return words, np.searchsorted(starts, first, side="right") - 1
