@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindle.llm import ann, bagminhash, chat, decontaminate, linededup, packing, quality, sharding, substrings
+from spindle.llm import ann, bagminhash, chat, decontaminate, linededup, packing, pii, quality, sharding, substrings
 from spindle.sources.tables import load_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,11 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(load_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op5_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.document_spans(load_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item that match, with the best window's similarity."""
     return decontaminate.contaminated(load_table(spark, sf_dir, "documents", "doc_id", "text"),
@@ -72,6 +77,7 @@ QUERIES: dict[str, QueryFn] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_multi_index_search": op3_multi_index_search,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_contextual_pii": op5_contextual_pii,
     "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
