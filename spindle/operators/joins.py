@@ -15,12 +15,12 @@ def checked_broadcast(small: DataFrame, key: str,
                       max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Mark ``small`` for broadcast only if it is proven small.
 
-    One bounded job reads at most ``max_rows + 1`` rows of the lookup and sums the
-    key bytes.  Within both limits the side gets a broadcast hint; beyond them it
-    is returned unchanged and the planner uses a shuffled join (sort-merge, or a
+    One aggregate job counts the lookup's rows and key bytes, a row per task, while the
+    plan is being built.  Within both limits the side gets a broadcast hint; beyond them
+    it is returned unchanged and the planner uses a shuffled join (sort-merge, or a
     broadcast chosen by AQE from runtime statistics).
     """
-    probe = small.select(key).limit(max_rows + 1).agg(
+    probe = small.select(key).agg(
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.sum(F.octet_length(F.col(key))), F.lit(0)).alias("bytes"),
     ).first()

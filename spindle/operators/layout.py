@@ -1,8 +1,8 @@
 """Union and partition layout (SET-1, PRT-1..4).
 
-Partitions are inspected by a per-partition pass (``mapInArrow`` runs once per
-partition, empty ones included): each task summarises its own rows, so row
-contents stay on the executors and only one small row per partition is produced.
+Partitions are inspected with ``spark_partition_id()``: an aggregate over it is partial
+inside each task, so one small row per partition is shuffled, and empty partitions are
+added from the known partition numbers.
 """
 
 from __future__ import annotations
@@ -11,9 +11,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from spindle.session import cluster_cores
 
 
 def union_all(*frames: DataFrame) -> DataFrame:
@@ -31,94 +28,61 @@ def repartition_to(df: DataFrame, n: int, *cols: str) -> DataFrame:
     return df.repartition(n, *cols)
 
 
-def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster's cores when its scan has fewer partitions.
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Round-robin ``df`` over ``partitions``; None leaves it as it is.
 
-    CPU-heavy per-row work (tokenising, parsing) after a scan of a few large row
-    groups would otherwise run on a few cores.  A large input already has at
-    least that many splits and is returned untouched, so no shuffle is added
-    at scale.  Only plan metadata is read.
+    For CPU-heavy row work after a scan of a few large row groups, where the caller
+    knows that the scan has fewer splits than the cluster has cores.
     """
-    want = min_partitions or cluster_cores(df.sparkSession)
-    return df.repartition(want) if num_partitions(df) < want else df
+    return df.repartition(partitions) if partitions else df
 
 
 def num_partitions(df: DataFrame) -> int:
     """PRT-4: partition count of the planned DataFrame.
 
     Plan metadata for scans and narrow plans; with adaptive execution a plan that
-    contains shuffles is finalised first (its shuffle stages run), so reports over
-    shuffled data use :func:`partition_counts` instead.
+    contains shuffles is finalised first (its shuffle stages run), so pass the known
+    number to the reports below where there is one.
     """
     return df.rdd.getNumPartitions()
 
 
-def _rows_per_partition(batches):
-    import pyarrow as pa
-
-    n = 0
-    for b in batches:
-        n += b.num_rows
-    yield pa.RecordBatch.from_pydict({"n_rows": [n]}, schema=pa.schema([("n_rows", pa.int64())]))
-
+def _all_partitions(df: DataFrame, found: DataFrame, partitions: int | None) -> DataFrame:
+    n = num_partitions(df) if partitions is None else partitions
+    known = df.sparkSession.range(n).select(F.col("id").cast("int").alias("partition"))
+    return known.join(found, "partition", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
 
-def _summary_per_partition(arrow_type):
-    def summarise(batches):
-        import pyarrow as pa
-        import pyarrow.compute as pc
 
-        n, lo, hi = 0, None, None
-        for b in batches:
-            n += b.num_rows
-            mm = pc.min_max(b.column(0))
-            bmin, bmax = mm["min"].as_py(), mm["max"].as_py()
-            if bmin is not None:
-                lo = bmin if lo is None else min(lo, bmin)
-                hi = bmax if hi is None else max(hi, bmax)
-        schema = pa.schema([("n_rows", pa.int64()), ("min_value", arrow_type),
-                            ("max_value", arrow_type)])
-        yield pa.RecordBatch.from_pydict({"n_rows": [n], "min_value": [lo], "max_value": [hi]},
-                                         schema=schema)
-    return summarise
+def partition_counts(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """``(partition, n_rows)`` for every partition of ``df``, empty ones included."""
+    found = (df.select(F.spark_partition_id().alias("partition"))
+             .groupBy("partition").agg(F.count(F.lit(1)).alias("n_rows")))
+    return _all_partitions(df, found, partitions).select("partition", "n_rows")
 
 
-def partition_counts(df: DataFrame) -> DataFrame:
-    """``(partition, n_rows)`` for every partition of ``df``, empty ones included.
-
-    A per-partition pass (the DataFrame form of listing partitions): each task
-    reports its own row count; only a constant column is handed to Python.
-    """
-    return (df.select(F.lit(True).alias("_x"))
-              .mapInArrow(_rows_per_partition, "n_rows long")
-              .select(F.spark_partition_id().alias("partition"), "n_rows"))
+def partition_report(df: DataFrame, col: str = "id", partitions: int | None = None) -> DataFrame:
+    """``(partition, n_rows, min_value, max_value)`` for every partition, NULL bounds for empty ones."""
+    found = (df.select(F.spark_partition_id().alias("partition"), F.col(col))
+             .groupBy("partition").agg(F.count(F.lit(1)).alias("n_rows"), F.min(col).alias("min_value"),
+                                       F.max(col).alias("max_value")))
+    return _all_partitions(df, found, partitions).select("partition", "n_rows", "min_value", "max_value")
 
 
-def partition_report(df: DataFrame, col: str = "id") -> DataFrame:
-    """PRT-3: ``(partition, n_rows, min_value, max_value)`` for every partition.
+def partition_contents(df: DataFrame, col: str = "id") -> DataFrame:
+    """PRT-3: the rows of every partition as ``(partition, value)``, without gathering them.
 
-    Every partition reports itself, empty ones too (with NULL bounds), in one
-    pass; values are summarised inside the task, never gathered.
+    Empty partitions have no rows here; ``partition_counts`` lists them.
     """
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    dtype = df.schema[col].dataType
-    return (df.select(F.col(col))
-              .mapInArrow(_summary_per_partition(to_arrow_type(dtype)),
-                          T.StructType([T.StructField("n_rows", T.LongType()),
-                                        T.StructField("min_value", dtype),
-                                        T.StructField("max_value", dtype)]))
-              .select(F.spark_partition_id().alias("partition"), "n_rows", "min_value", "max_value"))
+    return df.select(F.spark_partition_id().alias("partition"), F.col(col).alias("value"))
 
 
-def layout_sizes(stages: list[tuple[str, DataFrame]]) -> DataFrame:
-    """``(stage, n_partitions, n_rows)`` for each named stage of a layout pipeline.
+def layout_sizes(stages: list[tuple[str, DataFrame, int]]) -> DataFrame:
+    """``(stage, n_partitions, n_rows)`` for each stage (name, frame, its partition number) of a layout.
 
-    All stages are summarised in one job (their shared shuffles are planned once
-    and reused); partitions are counted from the per-partition pass, so empty
-    partitions count and nothing runs ahead of the job.
+    All stages are summarised in one job (their shared shuffles are planned once and
+    reused).
     """
-    rows = [partition_counts(df).agg(F.count(F.lit(1)).alias("n_partitions"),
-                                     F.sum("n_rows").alias("n_rows"))
-              .select(F.lit(name).alias("stage"), "n_partitions", "n_rows")
-            for name, df in stages]
+    rows = [partition_counts(df, n).agg(F.count(F.lit(1)).alias("n_partitions"), F.sum("n_rows").alias("n_rows"))
+            .select(F.lit(name).alias("stage"), "n_partitions", "n_rows")
+            for name, df, n in stages]
     return union_all(*rows)

@@ -1,14 +1,16 @@
 """Word statistics over line tables (PRJ-1..4, FLT-2/3, JON-1/2, AGG-5/9/11, SRT-1, TOP-1).
 
-Inputs are DataFrames with one text line per row in column ``value``.  Every
-function returns a lazy DataFrame; aggregation is hash-partial on the map side
-before the single shuffle by word, so a word holding a third of all tokens
-costs one pre-aggregated row per map task, not a hot reducer.
+Inputs are DataFrames with one text line per row in column ``value``.  Results are
+lazy DataFrames; only the stop-word operators run a small job while the plan is built,
+which measures the stop list.  Aggregation is hash-partial on the map side before the
+single shuffle by word, so a word holding a third of all tokens costs one
+pre-aggregated row per map task, not a hot reducer; stop words are looked up once per
+distinct word, after counting.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from spindle.functions.tokens import clean_tokens, space_tokens
@@ -63,9 +65,11 @@ def count_and_top(words: DataFrame, k: int) -> tuple[DataFrame, Observation]:
 
 
 def drop_stopwords(words: DataFrame, stopwords: DataFrame) -> DataFrame:
-    """JON-1 / FLT-2: words not in the stop list, as a left-anti join.
+    """JON-1 / FLT-2: rows whose ``word`` is not in the stop list, as a left-anti join.
 
-    The stop list is broadcast when its size is proven small, else shuffled.
+    Pass counts (one row per distinct word) rather than raw words: the join then moves
+    the vocabulary, not the tokens.  The stop list is broadcast when its size is proven
+    small, else shuffled.
     """
     stop = checked_broadcast(stopwords.select("word"), "word")
     return words.join(stop, on="word", how="left_anti")
@@ -79,13 +83,15 @@ def _flag_stopwords(words: DataFrame, stopwords: DataFrame) -> DataFrame:
 def stopword_totals(words: DataFrame, stopwords: DataFrame) -> DataFrame:
     """JON-2 + AGG-9: ``n_tokens`` (all tokens) and ``n_stop`` (tokens in the stop list).
 
-    A mark join (left outer against the de-duplicated list) followed by one global
-    aggregate; both counters come from the same pass.
+    Words are counted first; a mark join (left outer against the de-duplicated list) then
+    flags each distinct word, and one global aggregate sums its counts into both counters.
     """
-    return _flag_stopwords(words, stopwords).agg(
-        F.count(F.lit(1)).alias("n_tokens"),
-        F.count("is_stop").alias("n_stop"),
-    )
+    return _flag_stopwords(word_counts(words), stopwords).agg(*_stopword_counters())
+
+
+def _stopword_counters() -> list[Column]:
+    return [F.coalesce(F.sum("n"), F.lit(0)).alias("n_tokens"),
+            F.coalesce(F.sum(F.when(F.col("is_stop"), F.col("n"))), F.lit(0)).alias("n_stop")]
 
 
 def stopword_report(words: DataFrame, stopwords: DataFrame, k: int) -> tuple[DataFrame, Observation]:
@@ -95,7 +101,5 @@ def stopword_report(words: DataFrame, stopwords: DataFrame, k: int) -> tuple[Dat
     ``n_tokens`` and ``n_stop`` once the DataFrame has been evaluated.
     """
     obs = Observation("stopword_totals")
-    flagged = _flag_stopwords(words, stopwords).observe(
-        obs, F.count(F.lit(1)).alias("n_tokens"), F.count("is_stop").alias("n_stop"))
-    kept = flagged.filter(F.col("is_stop").isNull()).select("word")
-    return top_words(word_counts(kept), k), obs
+    flagged = _flag_stopwords(word_counts(words), stopwords).observe(obs, *_stopword_counters())
+    return top_words(flagged.filter(F.col("is_stop").isNull()).select("word", "n"), k), obs

@@ -30,9 +30,8 @@ def top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = text.clean_words(prose_lines(spark, sf_dir))
-    kept = text.drop_stopwords(words, catalog_stopwords(spark))
-    return text.top_words(text.word_counts(kept), 10)
+    counts = text.word_counts(text.clean_words(prose_lines(spark, sf_dir)))
+    return text.top_words(text.drop_stopwords(counts, catalog_stopwords(spark)), 10)
 
 
 def stopword_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +39,14 @@ def stopword_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.stopword_totals(words, catalog_stopwords(spark))
 
 
+def count_and_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CCH-1: the 5 most frequent words and the number of distinct words, from one job over the text."""
+    top, seen = text.count_and_top(text.split_words(prose_lines(spark, sf_dir)), 5)
+    path = scratch_path(spark, "count-and-top")
+    top.write.parquet(path)
+    return spark.read.schema(top.schema).parquet(path).withColumn("n_distinct", F.lit(seen.get["n_distinct"]).cast("long"))
+
+
 def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.status_counts(stats.parse_status(status_log_lines(spark, sf_dir)))
 
@@ -77,31 +84,36 @@ def union_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.union_all(_order_keys(spark, sf_dir), _line_keys(spark, sf_dir))
 
 
-# Rows per unit of the layout below: the 3 + 2 -> 5 -> 3 -> 10 partition pattern is
-# multiplied by ceil(rows / LAYOUT_ROWS_PER_UNIT) so partitions stay bounded.
-LAYOUT_ROWS_PER_UNIT = 50_000_000
+# Partition numbers of the layout queries, the same at every size.
+LAYOUT_LEFT, LAYOUT_RIGHT, LAYOUT_MERGED, LAYOUT_SPREAD = 96, 64, 96, 320
+KEY_PARTITIONS = 128
 
 
 def layout_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Union of a 3-way and a 2-way layout, coalesced to 3, reshuffled to 10 (x scale unit)."""
-    orders, lines = _order_keys(spark, sf_dir), _line_keys(spark, sf_dir)
-    rows = orders.count() + lines.count()  # parquet footers; two scalars on the driver
-    unit = max(1, -(-rows // LAYOUT_ROWS_PER_UNIT))
-    left = layout.repartition_to(orders, 3 * unit)
-    right = layout.repartition_to(lines, 2 * unit)
+    """Union of two layouts, coalesced without a shuffle, then reshuffled."""
+    left = layout.repartition_to(_order_keys(spark, sf_dir), LAYOUT_LEFT)
+    right = layout.repartition_to(_line_keys(spark, sf_dir), LAYOUT_RIGHT)
     unioned = layout.union_all(left, right)
-    merged = layout.coalesce_to(unioned, 3 * unit)
-    spread = layout.repartition_to(merged, 10 * unit)
-    return layout.layout_sizes([("union", unioned), ("coalesce", merged), ("repartition", spread)])
+    merged = layout.coalesce_to(unioned, LAYOUT_MERGED)
+    spread = layout.repartition_to(merged, LAYOUT_SPREAD)
+    return layout.layout_sizes([("union", unioned, LAYOUT_LEFT + LAYOUT_RIGHT), ("coalesce", merged, LAYOUT_MERGED),
+                                ("repartition", spread, LAYOUT_SPREAD)])
+
+
+def _placed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order keys, each in partition ``key mod KEY_PARTITIONS``."""
+    place = F.pmod("id", F.lit(KEY_PARTITIONS)).cast("int")
+    return _order_keys(spark, sf_dir).repartitionById(KEY_PARTITIONS, place)
 
 
 def partition_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PRT-3/4: per-partition report of order keys placed by ``key mod n`` (n = 10 x scale unit)."""
-    orders = _order_keys(spark, sf_dir)
-    unit = max(1, -(-orders.count() // LAYOUT_ROWS_PER_UNIT))
-    n = 10 * unit
-    placed = orders.repartitionById(n, F.pmod("id", F.lit(n)).cast("int"))
-    return layout.partition_report(placed, "id")
+    """PRT-4: rows and key range of every partition."""
+    return layout.partition_report(_placed_keys(spark, sf_dir), "id", KEY_PARTITIONS)
+
+
+def partition_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRT-3: the keys that every partition holds."""
+    return layout.partition_contents(_placed_keys(spark, sf_dir), "id")
 
 
 def saved_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,6 +129,7 @@ BATCH_QUERIES = {
     "distinct_words": distinct_words,
     "sorted_counts": sorted_counts,
     "top_words": top_words,
+    "count_and_top": count_and_top,
     "clean_top_words": clean_top_words,
     "stopword_totals": stopword_totals,
     "status_counts": status_counts,
@@ -128,5 +141,6 @@ BATCH_QUERIES = {
     "union_keys": union_keys,
     "layout_sizes": layout_sizes,
     "partition_rows": partition_rows,
+    "partition_contents": partition_contents,
     "saved_pairs": saved_pairs,
 }

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindle.operators.layout import spread_if_narrow
+from spindle.operators.layout import spread
 from spindle.session import scratch_path
 from spindle.sources.files import document_lines, read_stopwords, stopword_frame
 from spindle.sources.tables import load_table
@@ -24,9 +24,26 @@ STATUS_BY_EVENT = {"error": 400, "view": 200}
 OTHER_STATUS = 500
 
 
+# Session setting of the caller: round-robin the scans of CPU-heavy queries over so many
+# partitions.  For inputs of a few large row groups, such as the test files; unset, scans
+# keep their splits and no shuffle is added.
+SPREAD_KEY = "spindle.spread.partitions"
+
+
+def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+    wanted = spark.conf.get(SPREAD_KEY, None)
+    return spread(df, int(wanted) if wanted else None)
+
+
 def prose_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents.text as text lines, column ``value``."""
-    return document_lines(spread_if_narrow(load_table(spark, sf_dir, "documents", "text")))
+    return document_lines(_spread(spark, load_table(spark, sf_dir, "documents", "text")))
+
+
+def sliced_prose_lines(spark: SparkSession, sf_dir: str, n_slices: int) -> DataFrame:
+    """documents.text as text lines with the document's ``slice`` (doc_id mod ``n_slices``)."""
+    docs = _spread(spark, load_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return document_lines(docs.withColumn("slice", F.pmod("doc_id", F.lit(n_slices)).cast("int")), keep=("slice",))
 
 
 _STOPWORD_FILES: dict[str, str] = {}
@@ -62,8 +79,8 @@ def status_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def supplier_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as CSV records ``"id,x,y,z"`` = suppkey, quantity, partkey, orderkey."""
-    li = spread_if_narrow(load_table(spark, sf_dir, "lineitem", "l_suppkey", "l_quantity",
-                                     "l_partkey", "l_orderkey"))
+    li = _spread(spark, load_table(spark, sf_dir, "lineitem", "l_suppkey", "l_quantity",
+                                   "l_partkey", "l_orderkey"))
     return li.select(F.concat_ws(
         ",", F.col("l_suppkey").cast("string"), F.col("l_quantity").cast("bigint").cast("string"),
         F.col("l_partkey").cast("string"), F.col("l_orderkey").cast("string")).alias("value"))

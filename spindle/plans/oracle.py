@@ -51,6 +51,8 @@ BATCH_SQL = {
     "distinct_words": _with(_LINES, _WORDS) + "SELECT count(DISTINCT word) AS n_distinct FROM words",
     "sorted_counts": _with(_LINES, _WORDS) + _COUNTS + " ORDER BY n DESC, word",
     "top_words": _with(_LINES, _WORDS) + _COUNTS + " ORDER BY n DESC, word LIMIT 5",
+    "count_and_top": _with(_LINES, _WORDS, f"c AS ({_COUNTS})")
+                     + "SELECT word, n, (SELECT count(*) FROM c) AS n_distinct FROM c ORDER BY n DESC, word LIMIT 5",
     "clean_top_words": _with(_LINES, _CLEAN, _STOP) + """
 SELECT word, count(*) AS n FROM cwords
 WHERE word NOT IN (SELECT word FROM stop)
@@ -80,20 +82,19 @@ FROM orders""",
     "even_head": "SELECT o_orderkey AS id FROM orders WHERE o_orderkey % 2 = 0 ORDER BY o_orderkey LIMIT 5",
     "union_keys": "SELECT o_orderkey AS id FROM orders UNION ALL SELECT l_orderkey AS id FROM lineitem",
     "layout_sizes": """
-WITH t AS (SELECT (SELECT count(*) FROM orders) + (SELECT count(*) FROM lineitem) AS n),
-     u AS (SELECT n, CAST(greatest(1, ceil(n / 50000000)) AS BIGINT) AS unit FROM t)
-SELECT 'union' AS stage, 5 * unit AS n_partitions, n AS n_rows FROM u
-UNION ALL SELECT 'coalesce', 3 * unit, n FROM u
-UNION ALL SELECT 'repartition', 10 * unit, n FROM u""",
+WITH t AS (SELECT (SELECT count(*) FROM orders) + (SELECT count(*) FROM lineitem) AS n_rows)
+SELECT 'union' AS stage, CAST(160 AS BIGINT) AS n_partitions, n_rows FROM t
+UNION ALL SELECT 'coalesce', 96, n_rows FROM t
+UNION ALL SELECT 'repartition', 320, n_rows FROM t""",
     "partition_rows": """
-WITH u AS (SELECT CAST(10 * greatest(1, ceil(count(*) / 50000000)) AS BIGINT) AS n FROM orders),
-     parts AS (SELECT CAST(i AS INTEGER) AS partition FROM range(0, (SELECT n FROM u)) t(i)),
-     stats AS (SELECT CAST(((o_orderkey % (SELECT n FROM u)) + (SELECT n FROM u)) % (SELECT n FROM u)
-                           AS INTEGER) AS partition,
+WITH parts AS (SELECT CAST(i AS INTEGER) AS partition FROM range(0, 128) t(i)),
+     stats AS (SELECT CAST(((o_orderkey % 128) + 128) % 128 AS INTEGER) AS partition,
                       count(*) AS n_rows, min(o_orderkey) AS min_value, max(o_orderkey) AS max_value
                FROM orders GROUP BY 1)
 SELECT p.partition, coalesce(s.n_rows, 0) AS n_rows, s.min_value, s.max_value
 FROM parts p LEFT JOIN stats s USING (partition)""",
+    "partition_contents": """
+SELECT CAST(((o_orderkey % 128) + 128) % 128 AS INTEGER) AS partition, o_orderkey AS value FROM orders""",
     "saved_pairs": """
 SELECT o_orderpriority AS key, sum(o_custkey)::DOUBLE / count(o_custkey) AS avg_value
 FROM orders GROUP BY o_orderpriority""",
@@ -109,7 +110,18 @@ FROM (SELECT event_type,
 GROUP BY w, event_type"""
 _TOTALS = "SELECT event_type AS word, count(*) AS total FROM events GROUP BY event_type"
 
+# the same lines and words with the document's slice
+_SLICED = (_LINES.replace("SELECT unnest", "SELECT CAST(((doc_id % 4) + 4) % 4 AS INTEGER) AS slice, unnest"),
+           _WORDS.replace("SELECT unnest", "SELECT slice, unnest"))
+
 STREAM_SQL = {
+    "stream_prose_batch_counts": _with(*_SLICED) + "SELECT slice, word, count(*) AS n FROM words GROUP BY slice, word",
+    "stream_prose_sql_counts": _with(*_SLICED) + "SELECT slice, word, count(*) AS total FROM words GROUP BY slice, word",
+    "stream_prose_running": _with(*_SLICED) + """
+SELECT slice, word, CAST(row_number() OVER (PARTITION BY word ORDER BY slice) AS BIGINT) AS total FROM words""",
+    "stream_prose_snapshot": _with(*_SLICED, "batches AS (SELECT CAST(i AS INTEGER) AS slice FROM range(0, 4) t(i))") + """
+SELECT b.slice, w.word, count(*) AS total
+FROM words w JOIN batches b ON w.slice <= b.slice GROUP BY b.slice, w.word""",
     "stream_batch_counts": f"SELECT {_SLICE} AS slice, event_type AS word, count(*) AS n "
                            "FROM events GROUP BY 1, 2",
     "stream_sql_counts": f"SELECT {_SLICE} AS slice, event_type AS word, count(*) AS total "

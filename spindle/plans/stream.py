@@ -1,156 +1,193 @@
 """Streaming catalogue queries.
 
-Each query replays ``events`` as a line stream in four slices (``event_id mod 4``;
-a line is the event type, one word) and returns a batch DataFrame read from the
-sink it wrote.  Queries whose output is defined per micro-batch restart once per
-slice (slice = batch); the others run continuously over several micro-batches,
-and ``stream_resumed_counts`` stops and restarts half way.  All folders live under
-the session's checkpoint root.
+Each query replays a table as a stream, slice by slice, and returns a batch DataFrame
+read from the sink it wrote.  Prose queries replay the lines of ``documents`` (slice =
+``doc_id mod 4``), the others ``events``, a line being the event type (slice =
+``event_id mod 4``; for windows a span of days, so that event time moves on).  Together
+the slices are the whole table, and a slice is one micro-batch of one running query.
+``stream_resumed_counts`` stops and restarts half way.  All folders live under the
+session's checkpoint root; replayed input and checkpoints are removed at the end.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from spindle.functions.times import ntz_epoch_millis
+from spindle.plans.inputs import sliced_prose_lines
 from spindle.session import cluster_cores, scratch_path
+from spindle.sources.folders import remove_folder
 from spindle.sources.tables import load_table
 from spindle.streaming import counts, sinks
-from spindle.streaming.replay import replay
-from spindle.streaming.run import start, use_rocksdb_state
+from spindle.streaming.replay import Replay
+from spindle.streaming.run import start, stream_session
 
 N_SLICES = 4
-# Replay slices interleave the whole time range, so the watermark must cover the
-# table's time span for no row to count as late; at least this many days are used.
-MIN_REPLAY_WATERMARK_DAYS = 40
+# Windows: events are replayed in spans of this many days, and the watermark waits this
+# long; a later span holds later events only, so none is late and closed windows go.
+SLICE_DAYS = 8
+WATERMARK = "10 minutes"
+
+Runs = Callable[[list[int]], list[list[int]]]
+StartFn = Callable[[DataFrame, str], StreamingQuery]
+
 
+def one_run(slices: list[int]) -> list[list[int]]:
+    return [slices]
 
-def replay_watermark(spark: SparkSession, sf_dir: str) -> str:
-    """A watermark delay longer than the events' time span (one scalar aggregate)."""
-    ev = load_table(spark, sf_dir, "events", "ts")
-    span = ev.agg(F.datediff(F.max("ts"), F.min("ts")).alias("d")).first()["d"] or 0
-    return f"{max(MIN_REPLAY_WATERMARK_DAYS, int(span) + 2)} days"
 
+def two_runs(slices: list[int]) -> list[list[int]]:
+    return [slices[:len(slices) // 2], slices[len(slices) // 2:]]
 
-def event_stream_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = load_table(spark, sf_dir, "events", "event_id", "ts", "event_type")
     return ev.select(F.pmod("event_id", F.lit(N_SLICES)).cast("int").alias("slice"),
                      "event_id", "ts", F.col("event_type").alias("value"))
 
 
-# How the slices are fed: one restart per slice (results defined per batch), one
-# continuous run taking one file per trigger, or two runs (a restart half way).
-PER_SLICE = [[s] for s in range(N_SLICES)]
-CONTINUOUS = [list(range(N_SLICES))]
-TWO_RUNS = [list(range(N_SLICES // 2)), list(range(N_SLICES // 2, N_SLICES))]
-
-
-def _start(df: DataFrame, checkpoint: str, **kw):
-    """Catalogue queries start with ``availableNow`` and one state partition per core."""
-    return start(df, checkpoint, available_now=True,
-                 state_partitions=cluster_cores(df.sparkSession), **kw)
+def timed_event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in slices of ``SLICE_DAYS`` days, in the order of time."""
+    day = F.floor(ntz_epoch_millis(F.col("ts")) / (86_400_000 * SLICE_DAYS))
+    return event_lines(spark, sf_dir).withColumn("slice", day.cast("int"))
 
 
-def _replay(spark: SparkSession, sf_dir: str, name: str, build, runs=PER_SLICE) -> str:
-    """Run ``build(stream, checkpoint)`` over the slices of the event stream."""
-    use_rocksdb_state(spark)
+def replayed(spark: SparkSession, source: DataFrame, name: str, start_fn: StartFn, runs: Runs = one_run) -> None:
+    """Run ``start_fn(stream, checkpoint)`` over all slices of ``source``."""
+    session = stream_session(spark, cluster_cores(spark))
     root = scratch_path(spark, name)
-    checkpoint = f"{root}/checkpoint"
-    replay(spark, event_stream_source(spark, sf_dir), "slice", runs, f"{root}/input",
-           lambda stream: build(stream, checkpoint),
-           max_files_per_trigger=None if runs is PER_SLICE else 1)
-    return root
+    replay = Replay(session, source, "slice", f"{root}/input")
+    for slices in runs(replay.slices):
+        replay.run(slices, lambda stream: start_fn(stream, f"{root}/checkpoint"))
+    remove_folder(spark, root)
 
 
-def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STR-1/2/10/11 + SNK-2/7: per-batch counts saved to one folder per batch."""
-    prefix = scratch_path(spark, "batch-counts") + "/out"
+def _per_batch_dirs(spark: SparkSession, lines: DataFrame, name: str) -> DataFrame:
+    prefix = scratch_path(spark, name) + "/out"
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
         sinks.save_batch_dir(counts.count_per_batch(df, keys=("slice",)), prefix, batch_id)
 
-    _replay(spark, sf_dir, "stream-batch-counts", lambda s, ck: _start(
-        counts.stream_words(s, keep=("slice",)), ck, foreach_batch=per_batch))
+    replayed(spark, lines, name, lambda s, ck: start(counts.stream_words(s, keep=("slice",)), ck, foreach_batch=per_batch))
     return sinks.read_batch_dirs(spark, prefix, "slice int, word string, n long")
 
 
-def stream_sql_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STR-3 + SRC-6 + AGG-10: each batch counted by SQL over a temp view."""
-    out = scratch_path(spark, "sql-counts")
+def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-1/2/10/11 + SNK-2/7: per-batch counts saved to one folder per batch."""
+    return _per_batch_dirs(spark, event_lines(spark, sf_dir), "batch-counts")
+
+
+def stream_prose_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-2 + SNK-2 over prose: the words of each batch of lines."""
+    return _per_batch_dirs(spark, sliced_prose_lines(spark, sf_dir, N_SLICES), "prose-batch-counts")
+
+
+def _sql_counts(spark: SparkSession, lines: DataFrame, name: str) -> DataFrame:
+    out = scratch_path(spark, name)
     sql = "SELECT slice, word, count(*) AS total FROM {view} GROUP BY slice, word"
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
         sinks.write_batch_partition(counts.sql_per_batch(df, sql), out, batch_id)
 
-    _replay(spark, sf_dir, "stream-sql-counts", lambda s, ck: _start(
-        counts.stream_words(s, keep=("slice",)), ck, foreach_batch=per_batch))
+    replayed(spark, lines, name, lambda s, ck: start(counts.stream_words(s, keep=("slice",)), ck, foreach_batch=per_batch))
     return spark.read.parquet(out).select("slice", "word", "total")
 
 
-def _windowed(spark: SparkSession, sf_dir: str, name: str, sql_form: bool) -> DataFrame:
+def stream_sql_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-3 + SRC-6 + AGG-10: each batch counted by SQL over a temp view."""
+    return _sql_counts(spark, event_lines(spark, sf_dir), "sql-counts")
+
+
+def stream_prose_sql_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-3 over prose."""
+    return _sql_counts(spark, sliced_prose_lines(spark, sf_dir, N_SLICES), "prose-sql-counts")
+
+
+def _windowed(spark: SparkSession, sf_dir: str, name: str, sliding: Callable[..., DataFrame]) -> DataFrame:
     out = scratch_path(spark, name)
-    delay = replay_watermark(spark, sf_dir)
 
-    def build(stream: DataFrame, ck: str):
+    def begin(stream: DataFrame, checkpoint: str) -> StreamingQuery:
         words = counts.stream_words(counts.with_event_time(stream, "ts"), keep=("event_time",))
-        if sql_form:
-            agg = counts.sliding_counts_sql(words, watermark=delay)
-        else:
-            agg = counts.sliding_counts(words, watermark=delay)
-        return _start(agg, ck, output_mode="update",
+        return start(sliding(words, watermark=WATERMARK), checkpoint, output_mode="update",
                      foreach_batch=lambda df, bid: sinks.write_batch_partition(df, out, bid))
 
-    _replay(spark, sf_dir, name, build, CONTINUOUS)
+    replayed(spark, timed_event_lines(spark, sf_dir), name, begin)
     return sinks.latest_per_key(spark, out, ("window_start", "word"), "n")
 
 
 def stream_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR-4/5: 5-minute windows sliding by 60 s, update mode, latest value per window."""
-    return _windowed(spark, sf_dir, "sliding-counts", sql_form=False)
+    return _windowed(spark, sf_dir, "sliding-counts", counts.sliding_counts)
 
 
 def stream_sliding_counts_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR-6: the same windows through SQL on a streaming temp view."""
-    return _windowed(spark, sf_dir, "sliding-counts-sql", sql_form=True)
-
-
-def _running(spark: SparkSession, sf_dir: str, name: str, runs):
-    out = scratch_path(spark, name)
-    root = _replay(spark, sf_dir, name, lambda s, ck: _start(
-        counts.running_counts(counts.stream_words(s)), ck, output_mode="update",
-        foreach_batch=lambda df, bid: sinks.write_batch_partition(df, out, bid)), runs)
-    return out, f"{root}/checkpoint"
+    return _windowed(spark, sf_dir, "sliding-counts-sql", counts.sliding_counts_sql)
 
 
 def stream_running_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STR-7: a running total for every record (one run, several micro-batches)."""
-    out, _ = _running(spark, sf_dir, "running-counts", CONTINUOUS)
+    """STR-7: a running total for every record."""
+    out, totals = scratch_path(spark, "running-counts"), scratch_path(spark, "running-totals")
+    replayed(spark, event_lines(spark, sf_dir), "running", lambda s, ck: start(
+        counts.stream_words(s), ck, foreach_batch=lambda df, bid: sinks.write_batch_partition(
+            counts.running_counts(df, bid, totals), out, bid)))
     return spark.read.parquet(out).select("word", "total")
 
 
+def stream_prose_running(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-7 over prose: the running total of every word, by the slice it came in."""
+    out, totals = scratch_path(spark, "prose-running"), scratch_path(spark, "prose-totals")
+
+    def per_batch(df: DataFrame, batch_id: int) -> None:
+        first = df.select("slice").first()  # a batch is one slice
+        if first is not None:
+            rows = counts.running_counts(df, batch_id, totals).withColumn("slice", F.lit(first["slice"]).cast("int"))
+            sinks.write_batch_partition(rows, out, batch_id)
+
+    replayed(spark, sliced_prose_lines(spark, sf_dir, N_SLICES), "prose-running", lambda s, ck: start(
+        counts.stream_words(s, keep=("slice",)), ck, foreach_batch=per_batch))
+    return spark.read.parquet(out).select("slice", "word", "total")
+
+
 def stream_resumed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STR-8/9: state after a stop and a restart on one checkpoint, via the state reader."""
-    _, checkpoint = _running(spark, sf_dir, "resumed-counts", TWO_RUNS)
-    return counts.state_totals(spark, checkpoint)
+    """STR-8/9: totals after a stop and a restart on one checkpoint."""
+    totals = scratch_path(spark, "resumed-totals")
+    replayed(spark, event_lines(spark, sf_dir), "resumed", lambda s, ck: start(
+        counts.stream_words(s), ck, foreach_batch=lambda df, bid: counts.update_totals(df, bid, totals)), two_runs)
+    return counts.running_totals(spark, totals)
 
 
-def stream_count_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STR-8: cumulative counts of all words, complete mode, snapshot rewritten each batch."""
-    out = scratch_path(spark, "count-snapshot")
-    _replay(spark, sf_dir, "count-snapshot", lambda s, ck: _start(
-        counts.count_snapshot(counts.stream_words(s)), ck, output_mode="complete",
-        foreach_batch=lambda df, bid: df.write.mode("overwrite").parquet(out)), CONTINUOUS)
+def _snapshot_log(spark: SparkSession, lines: DataFrame, name: str) -> DataFrame:
+    """The update log of the cumulative counts: each batch writes the words it changed."""
+    out = scratch_path(spark, name)
+    replayed(spark, lines, name, lambda s, ck: start(
+        counts.count_snapshot(counts.stream_words(s, keep=("slice",)), keep=("slice",)), ck, output_mode="update",
+        foreach_batch=lambda df, bid: sinks.write_batch_partition(df, out, bid)))
     return spark.read.parquet(out)
 
 
+def stream_count_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-8: cumulative counts of all words after the last batch."""
+    log = _snapshot_log(spark, event_lines(spark, sf_dir), "count-snapshot")
+    return log.groupBy("word").agg(F.max_by("total", "batch_id").alias("total"))
+
+
+def stream_prose_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-8 over prose: cumulative counts of all words after every slice."""
+    log = _snapshot_log(spark, sliced_prose_lines(spark, sf_dir, N_SLICES), "prose-snapshot")
+    return counts.snapshots(log, "slice", N_SLICES - 1)
+
+
 def sink_counter_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-5/8: per-batch counts applied as idempotent increments to a keyed counter table."""
     path = scratch_path(spark, "counters")
-    _replay(spark, sf_dir, "counter-sink", lambda s, ck: _start(
-        counts.stream_words(s), ck,
-        foreach_batch=lambda df, bid: sinks.increment_counts(counts.count_per_batch(df), path, bid)),
-        CONTINUOUS)
+    replayed(spark, event_lines(spark, sf_dir), "counter-sink", lambda s, ck: start(
+        counts.stream_words(s), ck, foreach_batch=lambda df, bid: sinks.increment_counts(
+            counts.count_per_batch(df), path, bid, writer="events")))
     return sinks.counter_totals(spark, path).select(F.col("key").alias("word"), "total")
 
 
@@ -165,23 +202,27 @@ def sink_timed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         try:
             latest = agg.agg(F.max("t")).first()[0]  # one scalar per batch
             if latest is not None:
-                sinks.append_timed_counts(agg.withColumn("time_ms", F.lit(latest)), path, batch_id)
+                sinks.append_timed_counts(agg.withColumn("time_ms", F.lit(latest)), path, batch_id, writer="events")
         finally:
             agg.unpersist()
 
-    _replay(spark, sf_dir, "timed-sink", lambda s, ck: _start(
+    replayed(spark, event_lines(spark, sf_dir), "timed-sink", lambda s, ck: start(
         counts.stream_words(s, keep=("ts",)), ck, foreach_batch=per_batch))
-    return spark.read.parquet(path).select("time_ms", "word", "n")
+    return sinks.timed_cells(spark, path)
 
 
 STREAM_QUERIES = {
     "stream_batch_counts": stream_batch_counts,
     "stream_sql_counts": stream_sql_counts,
+    "stream_prose_batch_counts": stream_prose_batch_counts,
+    "stream_prose_sql_counts": stream_prose_sql_counts,
     "stream_sliding_counts": stream_sliding_counts,
     "stream_sliding_counts_sql": stream_sliding_counts_sql,
     "stream_running_counts": stream_running_counts,
+    "stream_prose_running": stream_prose_running,
     "stream_resumed_counts": stream_resumed_counts,
     "stream_count_snapshot": stream_count_snapshot,
+    "stream_prose_snapshot": stream_prose_snapshot,
     "sink_counter_totals": sink_counter_totals,
     "sink_timed_counts": sink_timed_counts,
 }

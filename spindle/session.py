@@ -53,8 +53,9 @@ def cluster_cores(spark: SparkSession) -> int:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir`` (or the context's checkpoint dir).
 
-    When neither is set (local tests), a fresh local folder is made and registered as
-    the context's checkpoint dir so later calls agree.
+    When neither is set, a local master (tests) gets a fresh local folder, registered as
+    the context's checkpoint dir so later calls agree; on a cluster that is an error,
+    since executors could not see the driver's folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
@@ -63,6 +64,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="spindle-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 

@@ -13,14 +13,15 @@ from spindle.sources.files import LINE_SCHEMA
 
 
 def stream_lines(spark: SparkSession, path: str, fmt: str = "text",
-                 max_files_per_trigger: int | None = None, schema=None) -> DataFrame:
+                 max_files_per_trigger: int | None = None, schema=None,
+                 options: dict[str, str] | None = None) -> DataFrame:
     """New files under ``path`` as a stream of lines (column ``value`` for text).
 
     ``fmt`` is ``text`` (one row per line) or a columnar format such as
     ``parquet`` with an explicit ``schema``.  ``max_files_per_trigger`` bounds the
     size of each micro-batch.
     """
-    reader = spark.readStream.format(fmt).schema(schema or LINE_SCHEMA)
+    reader = spark.readStream.format(fmt).schema(schema or LINE_SCHEMA).options(**(options or {}))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.load(path)

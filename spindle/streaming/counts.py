@@ -3,25 +3,23 @@
 * per batch (stateless, counts reset every batch) - inside ``foreachBatch``;
 * SQL over each batch through a temp view;
 * sliding event-time windows, DataFrame and SQL forms, bounded by a watermark;
-* running count per record (``transformWithStateInPandas`` on RocksDB) with a
-  map-side pre-aggregation so a hot word never ships its raw rows to one task;
-* cumulative snapshot of all counts (streaming aggregate, complete mode).
+* running count per record, from a log of totals keyed by batch id, with map-side
+  pre-aggregation so a hot word never ships its raw rows to one task;
+* cumulative snapshot of all counts (streaming aggregate in the state store).
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from spindle.functions.times import instant_to_ntz, ntz_to_instant
 from spindle.functions.tokens import space_tokens
 from spindle.session import cluster_cores
+from spindle.streaming.sinks import write_batch_partition
 
 # Largest run of consecutive running totals emitted as one row before expansion;
 # bounds the array built per row when a hot word's totals are generated.
@@ -104,87 +102,71 @@ def sliding_counts_sql(words: DataFrame, time_col: str = "event_time", length: s
     return out.select(instant_to_ntz(F.col("w_start")).alias("window_start"), "word", "n")
 
 
-# Buffered per-batch counts are folded together once they exceed this many rows
-# (and at least twice the folded size), keeping memory near the partition's
-# vocabulary and the total work near-linear in the input.
-FOLD_ROWS = 1_000_000
+def _log(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("word string, prev long, n long, total long, batch_id long").parquet(path)
 
 
-def _fold(parts: list[pd.Series]) -> pd.Series:
-    return pd.concat(parts).groupby(level=0, sort=False, dropna=False).sum()
+def update_totals(words: DataFrame, batch_id: int, totals_path: str, full_every: int = 16) -> DataFrame:
+    """Add a micro-batch to the running totals; ``(word, prev, n, total)`` of its words.
 
+    Call inside ``foreachBatch``.  The batch is counted (partial counts before the
+    shuffle), joined with the latest totals of earlier batches, and the new totals are
+    written under its batch id into the log at ``totals_path``.  Every ``full_every``-th
+    batch writes all words, so a lookup reads the last full batch and the few after it.
+    A replayed batch looks only at batches before its own and rewrites its partition.
+    """
+    spark = words.sparkSession
+    counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    if batch_id:
+        last_full = (batch_id - 1) // full_every * full_every
+        before = (_log(spark, totals_path).filter(F.col("batch_id").between(last_full, batch_id - 1))
+                  .groupBy("word").agg(F.max("total").alias("prev")))
+        joined = counted.join(before, "word", "left" if batch_id % full_every else "full")
+    else:
+        joined = counted.withColumn("prev", F.lit(None).cast("long"))
+    prev, n = F.coalesce("prev", F.lit(0)), F.coalesce("n", F.lit(0))
+    write_batch_partition(joined.select("word", prev.alias("prev"), n.alias("n"), (prev + n).alias("total")),
+                          totals_path, batch_id)
+    return (_log(spark, totals_path).filter((F.col("batch_id") == batch_id) & (F.col("n") > 0))
+            .select("word", "prev", "n", "total"))
+
+
+def running_counts(words: DataFrame, batch_id: int, totals_path: str, full_every: int = 16,
+                   spread_partitions: int | None = None) -> DataFrame:
+    """STR-7: one ``(word, total)`` row per token of a micro-batch, ``total`` = running count so far.
+
+    Totals come from :func:`update_totals`.  A hot word's totals are expanded from ranges
+    of at most ``RANGE_CHUNK`` values, spread over ``spread_partitions`` tasks (by default
+    one per core).  Within a batch the order of a word's totals is not defined.
+    """
+    new = update_totals(words, batch_id, totals_path, full_every)
+    low = F.explode(F.sequence(F.col("prev") + 1, F.col("total"), F.lit(RANGE_CHUNK).cast("long")))
+    ranges = (new.select("word", "total", low.alias("low"))
+              .repartition(spread_partitions or cluster_cores(words.sparkSession)))
+    high = F.least(F.col("total"), F.col("low") + (RANGE_CHUNK - 1))
+    return ranges.select("word", F.explode(F.sequence(F.col("low"), high)).alias("total"))
 
-def _partial_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per-partition word counts (map-side combine ahead of the state shuffle)."""
-    parts: list[pd.Series] = []
-    buffered = folded = 0
-    for pdf in batches:
-        c = pdf.groupby("word", dropna=False, sort=False).size()
-        parts.append(c)
-        buffered += len(c)
-        if buffered > max(FOLD_ROWS, 2 * folded):
-            parts = [_fold(parts)]
-            buffered = folded = len(parts[0])
-    if parts:
-        acc = _fold(parts)
-        if len(acc):
-            words = pd.Series(acc.index, dtype=object)
-            yield pd.DataFrame({"word": words.where(words.notna(), None),
-                                "n": acc.to_numpy().astype("int64")})
 
+def running_totals(spark: SparkSession, totals_path: str) -> DataFrame:
+    """STR-8: the latest ``(word, total)`` of every word seen, from the running-count log."""
+    return _log(spark, totals_path).groupBy("word").agg(F.max("total").alias("total"))
 
-class RunningCount(StatefulProcessor):
-    """STR-7 state function: keeps the total per word, emits the new totals as ranges.
 
-    Input rows are partial counts ``(word, n)``; for a word the new records get
-    totals ``prev+1 .. prev+sum(n)``, emitted as ``[lo, hi]`` pieces of at most
-    ``RANGE_CHUNK`` values.
-    """
+def count_snapshot(words: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """STR-8: cumulative ``(word, total)``; in update mode each batch yields the words it changed.
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.total = handle.getValueState("total", T.StructType([T.StructField("n", T.LongType())]))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        added = 0
-        for pdf in rows:
-            added += int(pdf["n"].sum())
-        prev = int(self.total.get()[0]) if self.total.exists() else 0
-        self.total.update((prev + added,))
-        lo = list(range(prev + 1, prev + added + 1, RANGE_CHUNK))
-        hi = [min(x + RANGE_CHUNK - 1, prev + added) for x in lo]
-        yield pd.DataFrame({"word": [key[0]] * len(lo), "lo": lo, "hi": hi})
-
-    def close(self) -> None:
-        pass
-
-
-def running_counts(words: DataFrame, spread_partitions: int | None = 0) -> DataFrame:
-    """STR-7: one ``(word, total)`` row per input token, ``total`` = running count so far.
-
-    Plan: partial counts per partition (``mapInPandas``) -> shuffle by word ->
-    ``transformWithStateInPandas`` (RocksDB value state, checkpointed) -> ranges ->
-    round-robin spread -> ``explode(sequence(lo, hi))``.  State grows with the
-    vocabulary; there is no timeout, like the state function it replaces.
-    Within one batch the order of a word's totals is not defined.
-    ``spread_partitions`` = 0 spreads the ranges over the cluster's cores (a
-    shuffle of one small row per chunk); ``None`` expands them in place.
+    ``keep`` columns carry their latest (greatest) value, e.g. the slice that changed the word.
     """
-    partial = words.select("word").mapInPandas(_partial_counts, "word string, n long")
-    ranges = partial.groupBy("word").transformWithStateInPandas(
-        RunningCount(), "word string, lo long, hi long", "Update", "None")
-    if spread_partitions == 0:
-        spread_partitions = cluster_cores(words.sparkSession)
-    if spread_partitions:
-        ranges = ranges.repartition(spread_partitions)
-    return ranges.select("word", F.explode(F.sequence("lo", "hi")).alias("total"))
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("total"), *(F.max(c).alias(c) for c in keep))
 
 
-def count_snapshot(words: DataFrame) -> DataFrame:
-    """STR-8: cumulative ``(word, total)`` for all words seen; start in complete mode."""
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("total"))
+def snapshots(log: DataFrame, tag: str, last: int) -> DataFrame:
+    """All words' totals after every batch ``tag`` up to ``last``, from an update-mode log (word, total, tag)."""
+    after = log.select("word", "total", F.explode(F.sequence(F.col(tag), F.lit(last).cast(log.schema[tag].dataType))).alias(tag))
+    return after.groupBy(tag, "word").agg(F.max("total").alias("total"))
 
 
-def state_totals(spark, checkpoint: str) -> DataFrame:
-    """STR-8 read-back: ``(word, total)`` from the running-count state in ``checkpoint``."""
-    st = spark.read.format("statestore").option("stateVarName", "total").load(checkpoint)
-    return st.select(F.col("key.word").alias("word"), F.col("value.n").alias("total"))
+def state_totals(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """STR-8 read-back: ``(word, total)`` from the state of a ``count_snapshot`` query in ``checkpoint``."""
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select(F.col("key.word").alias("word"), F.col("value.count").alias("total"))

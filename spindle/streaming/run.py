@@ -16,7 +16,6 @@ from spindle.session import ROCKSDB_PROVIDER
 
 BatchFn = Callable[[DataFrame, int], None]
 
-
 CHANGELOG_KEY = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 
 
@@ -29,36 +28,32 @@ def batch_time_ms() -> Column:
     return F.unix_millis(F.current_timestamp())
 
 
-def use_rocksdb_state(spark: SparkSession) -> None:
-    """Select the RocksDB state store (needed by ``transformWithState``).
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session of its own for a stream: RocksDB state with changelog checkpoints, and a number of
+    state partitions that stateful queries of a new checkpoint keep for life.
 
-    Changelog checkpointing is switched on unless the session says otherwise: a
-    batch then uploads only its changes instead of a new RocksDB snapshot.
+    The caller's session keeps its settings; both share the cluster and the files.
     """
-    key = "spark.sql.streaming.stateStore.providerClass"
-    if spark.conf.get(key, None) != ROCKSDB_PROVIDER:
-        spark.conf.set(key, ROCKSDB_PROVIDER)
-    if spark.conf.get(CHANGELOG_KEY, None) in (None, "false") and not _explicit(spark, CHANGELOG_KEY):
-        spark.conf.set(CHANGELOG_KEY, "true")
-
-
-def _explicit(spark: SparkSession, key: str) -> bool:
-    """True when the application configured ``key`` itself (left as it is then)."""
-    return spark.sparkContext.getConf().contains(key)
+    own = spark.newSession()
+    for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+        own.conf.set(key, spark.conf.get(key))
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    own.conf.set(CHANGELOG_KEY, "true")
+    if state_partitions:
+        own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    return own
 
 
 def start(df: DataFrame, checkpoint: str, *, foreach_batch: BatchFn | None = None,
           output_mode: str = "append", processing_time: str | None = None,
           available_now: bool = False, fmt: str | None = None, options: dict | None = None,
-          query_name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
+          query_name: str | None = None) -> StreamingQuery:
     """Start ``df`` as a streaming query.
 
     ``processing_time`` (e.g. ``"60 seconds"``) gives a fixed micro-batch cadence;
-    ``available_now`` processes what is there and stops (used by tests and replays).
+    ``available_now`` processes what is there and stops; with neither, batches follow
+    each other as input arrives.
     Either a ``foreach_batch`` function or a sink ``fmt`` is used.
-    ``state_partitions`` fixes the number of state-store partitions of a new
-    checkpoint (stateful operators keep it for life; a restart reuses the stored
-    value).  The session's own shuffle setting is restored once the query starts.
     """
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if query_name:
@@ -73,16 +68,7 @@ def start(df: DataFrame, checkpoint: str, *, foreach_batch: BatchFn | None = Non
         w = w.trigger(availableNow=True)
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
-    if not state_partitions:
-        return w.start()
-    spark = df.sparkSession
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
-    try:
-        return w.start()  # the query takes a copy of the session configuration here
-    finally:
-        spark.conf.set(key, before)
+    return w.start()
 
 
 def run_to_end(query: StreamingQuery, timeout_s: float | None = None) -> None:

@@ -22,5 +22,9 @@ def test_union_coalesce_repartition(spark):
     rep = _report(r)
     assert len(rep) == 10 and sum(x[1] for x in rep) == 11  # empty partitions listed too
     sizes = {s.stage: (s.n_partitions, s.n_rows) for s in
-             layout.layout_sizes([("union", u), ("coalesce", c), ("repartition", r)]).collect()}
+             layout.layout_sizes([("union", u, 5), ("coalesce", c, 3), ("repartition", r, 10)]).collect()}
+    contents = {}
+    for row in layout.partition_contents(u).collect():
+        contents.setdefault(row.partition, []).append(row.value)
+    assert contents == {0: [1, 2], 1: [3, 4], 2: [5, 6], 3: [7, 8], 4: [9, 10, 11]}
     assert sizes == {"union": (5, 11), "coalesce": (3, 11), "repartition": (10, 11)}

@@ -6,7 +6,7 @@ import io
 from pyspark.sql import functions as F
 
 from spindle.operators import stats, text
-from spindle.operators.layout import spread_if_narrow
+from spindle.operators.layout import spread
 from spindle.plans import queries
 
 SF = "/root/testdata/sf0.001"
@@ -56,8 +56,37 @@ def test_top_words_avoids_full_sort(spark):
     assert "TakeOrderedAndProject" in plan and "Sort [" not in plan
 
 
-def test_spread_only_when_narrow(spark):
-    wide = spark.range(0, 1000, 1, 64)
-    assert spread_if_narrow(wide) is wide
-    narrow = spark.range(0, 1000, 1, 1)
-    assert spread_if_narrow(narrow, 4).rdd.getNumPartitions() == 4
+def test_spread_only_when_asked(spark):
+    df = spark.range(0, 1000, 1, 1)
+    assert spread(df, None) is df
+    assert spread(df, 4).rdd.getNumPartitions() == 4
+
+
+def test_stop_words_are_looked_up_after_counting(spark):
+    """Without a broadcast, the join moves partial counts, not tokens."""
+    from spindle.operators.joins import checked_broadcast
+    lines = spark.createDataFrame([("the cat the hat",)], "value string")
+    stop = spark.range(100).select(F.col("id").cast("string").alias("word"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert checked_broadcast(stop, "word", max_rows=10) is stop
+        counted = text.word_counts(text.clean_words(lines))
+        plan = _plan(counted.join(checked_broadcast(stop, "word", max_rows=10), "word", "left_anti"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Broadcast" not in plan
+    assert plan.index("SortMergeJoin") < plan.index("Exchange") < plan.index("partial_count")
+
+
+def test_sorted_counts_come_in_exact_order(spark):
+    got = [(r.word, r.n) for r in queries()["sorted_counts"](spark, SF).collect()]
+    assert got == sorted(got, key=lambda x: (-x[1], x[0].encode()))
+    assert len(got) > 1000
+
+
+def test_broadcast_probe_is_one_row_per_task(spark):
+    """The guard measures with an aggregate; no limit gathers rows in one task."""
+    import inspect
+
+    from spindle.operators import joins
+    assert "limit(" not in inspect.getsource(joins.checked_broadcast)

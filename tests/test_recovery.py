@@ -5,17 +5,18 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from spindle.streaming import counts, sinks
-from spindle.streaming.replay import replay
-from spindle.streaming.run import start, use_rocksdb_state
+from spindle.streaming.replay import Replay
+from spindle.streaming.run import start, stream_session
 
 
 class Crash(RuntimeError):
     pass
 
 
-def _source(spark):
+def _replay(spark, tmp_dir):
     rows = [(0, "a a b"), (1, "a c"), (1, "c c"), (2, "b d")]
-    return spark.createDataFrame(rows, "slice int, value string")
+    source = spark.createDataFrame(rows, "slice int, value string")
+    return Replay(stream_session(spark, 4), source, "slice", f"{tmp_dir}/in")
 
 
 def _crash_once(write, state):
@@ -28,31 +29,26 @@ def _crash_once(write, state):
     return fn
 
 
-def test_counter_sink_survives_a_replayed_batch(spark, tmp_dir):
-    path, state = f"{tmp_dir}/counters", {}
-    writer = _crash_once(lambda df, bid: sinks.increment_counts(counts.count_per_batch(df), path, bid),
-                         state)
-    run = lambda s: start(counts.stream_words(s), f"{tmp_dir}/ck", foreach_batch=writer,
-                          available_now=True)
-    src = _source(spark)
+def _crash_and_restart(replay, run):
     with pytest.raises(StreamingQueryException):
-        replay(spark, src, "slice", [[0], [1]], f"{tmp_dir}/in", run)
-    # restart: batch 1 is taken again from the checkpoint, then slice 2 follows
-    replay(spark, src, "slice", [[], [2]], f"{tmp_dir}/in", run)
+        replay.run([0, 1], run)
+    replay.run([2], run)  # restart: batch 1 is taken again from the checkpoint, then slice 2 follows
+
+
+def test_counter_sink_survives_a_replayed_batch(spark, tmp_dir):
+    path = f"{tmp_dir}/counters"
+    writer = _crash_once(lambda df, bid: sinks.increment_counts(counts.count_per_batch(df), path, bid), {})
+    _crash_and_restart(_replay(spark, tmp_dir), lambda s: start(counts.stream_words(s), f"{tmp_dir}/ck", foreach_batch=writer))
     totals = {r.key: r.total for r in sinks.counter_totals(spark, path).collect()}
     assert totals == {"a": 3, "b": 2, "c": 3, "d": 1}
 
 
-def test_running_counts_survive_a_replayed_batch(spark, tmp_dir):
-    use_rocksdb_state(spark)
-    out, state = f"{tmp_dir}/run", {}
-    writer = _crash_once(lambda df, bid: sinks.write_batch_partition(df, out, bid), state)
-    run = lambda s: start(counts.running_counts(counts.stream_words(s)), f"{tmp_dir}/ck",
-                          output_mode="update", foreach_batch=writer, available_now=True)
-    src = _source(spark)
-    with pytest.raises(StreamingQueryException):
-        replay(spark, src, "slice", [[0], [1]], f"{tmp_dir}/in", run)
-    replay(spark, src, "slice", [[], [2]], f"{tmp_dir}/in", run)
+@pytest.mark.parametrize("full_every", [1, 2, 16])
+def test_running_counts_survive_a_replayed_batch(spark, tmp_dir, full_every):
+    out, log = f"{tmp_dir}/run", f"{tmp_dir}/totals"
+    writer = _crash_once(lambda df, bid: sinks.write_batch_partition(
+        counts.running_counts(df, bid, log, full_every=full_every), out, bid), {})
+    _crash_and_restart(_replay(spark, tmp_dir), lambda s: start(counts.stream_words(s), f"{tmp_dir}/ck", foreach_batch=writer))
     got = spark.read.parquet(out)
     assert got.filter(F.col("batch_id") == 1).count() == 4  # rewritten once, not appended twice
     totals = sorted(tuple(r) for r in got.select("word", "total").collect())

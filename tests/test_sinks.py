@@ -22,6 +22,10 @@ def test_save_pairs_text(spark, tmp_dir):
         save_pairs_text(stats.avg_by_key(kv), path, "key", "avg_value")
 
 
+def _totals(spark, path):
+    return {r.key: r.total for r in sinks.counter_totals(spark, path).collect()}
+
+
 def test_counter_increments_are_replay_safe(spark, tmp_dir):
     path = f"{tmp_dir}/counters"
     b0 = spark.createDataFrame([("a", 2), ("b", 1)], "word string, n long")
@@ -29,11 +33,40 @@ def test_counter_increments_are_replay_safe(spark, tmp_dir):
     sinks.increment_counts(b0, path, 0)
     sinks.increment_counts(b1, path, 1)
     sinks.increment_counts(b1, path, 1)  # replay of batch 1
-    totals = {r.key: r.total for r in sinks.counter_totals(spark, path).collect()}
-    assert totals == {"a": 3, "b": 1, "c": 1}
-    compact = f"{tmp_dir}/compact"
-    sinks.compact_counters(spark, path, compact)
-    assert {r.key: r.total for r in sinks.counter_totals(spark, compact).collect()} == totals
+    assert _totals(spark, path) == {"a": 3, "b": 1, "c": 1}
+
+
+def test_two_programs_share_a_counter_table(spark, tmp_dir):
+    path = f"{tmp_dir}/counters"
+    rows = lambda *r: spark.createDataFrame(list(r), "word string, n long")
+    sinks.increment_counts(rows(("a", 2), ("b", 1)), path, 0, writer="first")
+    sinks.increment_counts(rows(("a", 1), ("c", 1)), path, 1, writer="first")
+    sinks.increment_counts(rows(("a", 2), ("b", 1)), path, 0, writer="second")  # its own checkpoint
+    assert _totals(spark, path) == {"a": 5, "b": 2, "c": 1}
+
+
+def test_replay_after_compaction_does_not_count_twice(spark, tmp_dir):
+    path = f"{tmp_dir}/counters"
+    b1 = spark.createDataFrame([("a", 2)], "word string, n long")
+    sinks.increment_counts(b1, path, 0)
+    sinks.compact_counters(spark, path)
+    assert _totals(spark, path) == {"a": 2}
+    sinks.increment_counts(b1, path, 0)  # replay of a folded batch
+    assert _totals(spark, path) == {"a": 2}
+    sinks.increment_counts(b1, path, 1)
+    sinks.increment_counts(b1, path, 0, writer="other")
+    sinks.compact_counters(spark, path)
+    sinks.increment_counts(b1, path, 1)
+    assert _totals(spark, path) == {"a": 6}
+
+
+def test_unfinished_snapshot_is_ignored(spark, tmp_dir):
+    path = f"{tmp_dir}/counters"
+    sinks.increment_counts(spark.createDataFrame([("a", 2)], "word string, n long"), path, 0)
+    spark.createDataFrame([("a", 99)], "key string, n long").write.parquet(f"{path}/snapshots/v1/totals")
+    assert _totals(spark, path) == {"a": 2}
+    sinks.compact_counters(spark, path)
+    assert _totals(spark, path) == {"a": 2}
 
 
 def test_timed_counts_overwrite_per_batch(spark, tmp_dir):
@@ -41,8 +74,38 @@ def test_timed_counts_overwrite_per_batch(spark, tmp_dir):
     df = spark.createDataFrame([(1000, "a", 2)], "time_ms long, word string, n long")
     sinks.append_timed_counts(df, path, 0)
     sinks.append_timed_counts(df, path, 0)
-    rows = [tuple(r) for r in spark.read.parquet(path).select("time_ms", "word", "n").collect()]
-    assert rows == [(1000, "a", 2)]
+    assert [tuple(r) for r in sinks.timed_cells(spark, path).collect()] == [(1000, "a", 2)]
+
+
+def test_last_write_of_a_timed_cell_wins(spark, tmp_dir):
+    path = f"{tmp_dir}/timed"
+    schema = "time_ms long, word string, n long"
+    sinks.append_timed_counts(spark.createDataFrame([(1000, "a", 2), (1000, "b", 5)], schema), path, 0)
+    sinks.append_timed_counts(spark.createDataFrame([(1000, "a", 7)], schema), path, 1)
+    assert sorted(tuple(r) for r in sinks.timed_cells(spark, path).collect()) == [(1000, "a", 7), (1000, "b", 5)]
+
+
+ODD_KEYS = ["a\u0085b", "a\u2028b", "a\u2029b", "line\nbreak", "carriage\rreturn", "both\r\n", "back\\slash", "\\n",
+            "\\\\n\n", "\\N", "", None, "a,b", "(x)"]
+
+
+def test_odd_keys_round_trip(spark, tmp_dir):
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(ODD_KEYS)], "k string, v long")
+    save_pairs_text(df, f"{tmp_dir}/pairs", "k", "v")
+    back = {int(r.value): r.key for r in read_pairs_text(spark, f"{tmp_dir}/pairs").collect()}
+    assert back == dict(enumerate(ODD_KEYS))
+    sinks.save_batch_dir(df, f"{tmp_dir}/out", 0)
+    back = {r.v: r.k for r in sinks.read_batch_dirs(spark, f"{tmp_dir}/out", "k string, v long").collect()}
+    assert back == dict(enumerate(ODD_KEYS))
+
+
+def test_unreadable_lines_fail(spark, tmp_dir):
+    spark.createDataFrame([("no pair",)], "value string").write.text(f"{tmp_dir}/pairs")
+    with pytest.raises(PySparkException, match="unreadable line"):
+        read_pairs_text(spark, f"{tmp_dir}/pairs").collect()
+    spark.createDataFrame([("only one field",)], "value string").write.text(f"{tmp_dir}/out-0")
+    with pytest.raises(PySparkException, match="unreadable line"):
+        sinks.read_batch_dirs(spark, f"{tmp_dir}/out", "word string, n long").collect()
 
 
 def test_batch_time_is_fixed_within_a_batch(spark, tmp_dir):

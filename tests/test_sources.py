@@ -41,7 +41,9 @@ def test_text_file_stream_and_console(spark, tmp_dir, capsys):
               f"{tmp_dir}/ck", foreach_batch=per_batch, available_now=True)
     run_to_end(q, 120)
     assert sorted(seen.values()) == sorted([[("a", 2), ("b", 1)], [("", 1), ("a", 1), ("c", 1)]])
-    assert "========= batch 0 =========" in capsys.readouterr().out
+    import re
+    times = re.findall(r"========= batch (\d) at (\d{13}) =========", capsys.readouterr().out)
+    assert [b for b, _ in times] == ["0", "1"] and times[0][1] <= times[1][1]
 
 
 def test_processing_time_trigger_and_console_sink(spark, tmp_dir):

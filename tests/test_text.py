@@ -59,6 +59,7 @@ def test_large_stop_list_is_not_broadcast(spark):
     words = spark.createDataFrame([("1",), ("x",)], "word string")
     joined = words.join(checked_broadcast(big, "word", max_rows=10), "word", "left_anti")
     assert sorted(r.word for r in joined.collect()) == ["x"]
+    assert checked_broadcast(big, "word", max_rows=10) is big  # no hint
     joined_small = words.join(checked_broadcast(big, "word", max_rows=1000), "word", "left_anti")
     assert "BroadcastHashJoin" in _plan(joined_small)
 
