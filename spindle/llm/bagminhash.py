@@ -38,6 +38,7 @@ from spindle.llm.clusters import agreeing_marks, jaccard_sets, linked
 from spindle.llm.common import body, free_name, keep
 from spindle.llm.components import connected_components
 from spindle.llm.shingles import expanded, mix, multisets, shingle_hashes
+from spindle.operators.joins import checked_broadcast
 
 BANDS, ROWS = 32, 4
 SIMILARITY = 0.8
@@ -174,18 +175,19 @@ def _elements(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     texts = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("known"),
                              F.md5(F.encode(body(), "UTF-8")).alias("text_key"), body().alias("text"))
     keys = wanted.select("class", "text_key", F.coalesce("doc_id", F.lit(-1)).alias("known"))
-    return (texts.join(keys, ["known", "text_key"]).select("class", "text")
+    return (texts.join(checked_broadcast(keys, "text_key"), ["known", "text_key"]).select("class", "text")
             .groupBy("class").agg(F.first("text").alias("text"))
             .mapInArrow(_expand, "class bigint, elements array<bigint>"))
 
 
 def _verified_links(members: DataFrame, similarity: float) -> DataFrame:
-    """Links of exact similarity that connect what such links connect within the components of signatures."""
-    least = members.groupBy("grp").agg(F.min("id").alias("hub"))
-    hubs = members.join(least, F.col("id") == F.col("hub"), "left_semi").select("grp", F.col("elements").alias("of_hub"),
-                                                                                F.col("id").alias("hub"))
+    """Links of exact similarity that connect what such links connect within the components of signatures.
+
+    A component is named by its least member, which is the hub that all others are compared with.
+    """
+    hubs = members.filter("id = grp").select("grp", F.col("elements").alias("of_hub"))
     shared = F.size(F.array_intersect("elements", "of_hub"))
-    matches = keep(members.join(hubs, "grp").filter("id != hub").withColumn("shared", shared)
+    matches = keep(members.filter("id != grp").join(hubs, "grp").withColumn("shared", shared)
                    .filter(F.col("shared") >= similarity * (F.size("elements") + F.size("of_hub") - F.col("shared")) - 1e-6)
                    .select("grp", "id"), "bag-hub-exact")
     return linked(members, matches, jaccard_sets(similarity), "elements")

@@ -140,25 +140,30 @@ def linked(members: DataFrame, matches: DataFrame, test: Similar, payload: str,
     """Links (a, b) that connect what similar pairs within a group connect.
 
     ``members``: (grp, id, payload), an id once per group.  ``matches``: (grp, id) of the
-    items found similar to their group's hub, its least id.
+    items found similar to their group's hub, its least id.  Who meets whom is worked out
+    on ids alone; payloads join the items of unsettled groups only.
     """
-    hubs = members.groupBy("grp").agg(F.min("id").alias("hub"))
-    flagged = (members.join(matches.select("grp", "id", F.lit(True).alias("ok")), ["grp", "id"], "left")
-               .withColumn("ok", F.coalesce("ok", F.lit(False))))
-    sizes = (flagged.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.sum((~F.col("ok")).cast("int")).alias("open"),
-                                        F.min("id").alias("hub"))
-             .filter("open > 1")  # the hub itself is open; with no other one all is joined
+    ids = members.select("grp", "id")
+    hubs = ids.groupBy("grp").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("n"))
+    matched = matches.groupBy("grp").agg(F.count(F.lit(1)).alias("ok"))
+    sizes = (hubs.join(matched, "grp", "left").withColumn("open", F.col("n") - 1 - F.coalesce("ok", F.lit(0)))
+             .filter("open > 0")
              .select("grp", "hub", F.ceil(F.col("n") / block).cast("int").alias("all_blocks"),
-                     F.ceil((F.col("open") - 1) / block).cast("int").alias("row_blocks")))
-    rows = flagged.join(sizes, "grp")
+                     F.ceil(F.col("open") / block).cast("int").alias("row_blocks")))
+    rows = ids.join(sizes, "grp").join(matches.select("grp", "id", F.lit(True).alias("ok")), ["grp", "id"], "left")
     place: dict[str, Column] = {n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int") for n in ("all_blocks", "row_blocks")}
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    asking = (rows.filter(~F.col("ok") & (F.col("id") != F.col("hub")))
-              .select("grp", place["row_blocks"].alias("row_block"), every("all_blocks").alias("all_block"),
-                      F.lit(True).alias("asks"), "id", F.col(payload).alias("payload")))
-    asked = rows.select("grp", every("row_blocks").alias("row_block"), place["all_blocks"].alias("all_block"),
-                        F.lit(False).alias("asks"), "id", F.col(payload).alias("payload"))
-    found = (asking.unionByName(asked).repartition("grp", "row_block", "all_block")
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    unit = lambda row, every_row, asks: F.transform(
+        every_row, lambda i: F.struct((row if asks else i).alias("row_block"), (i if asks else row).alias("all_block"),
+                                      F.lit(asks).alias("asks")))
+    asked = unit(place["all_blocks"], every("row_blocks"), False)
+    asking = unit(place["row_blocks"], every("all_blocks"), True)
+    asks = F.col("ok").isNull() & (F.col("id") != F.col("hub"))
+    visits = rows.select("grp", "id", F.when(asks, F.concat(asked, asking)).otherwise(asked).alias("units"))
+    found = (visits.join(members.select("grp", "id", F.col(payload).alias("payload")), ["grp", "id"])
+             .select("grp", F.explode("units").alias("unit"), "id", "payload")
+             .select("grp", "unit.row_block", "unit.all_block", "unit.asks", "id", "payload")
+             .repartition("grp", "row_block", "all_block")
              .sortWithinPartitions("grp", "row_block", "all_block").mapInArrow(_search(test), "a bigint, b bigint"))
-    to_hub = matches.join(hubs, "grp").filter("id != hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
+    to_hub = matches.join(hubs, "grp").select(F.col("id").alias("a"), F.col("hub").alias("b"))
     return found.union(to_hub)
