@@ -103,7 +103,7 @@ def discriminant(n: np.ndarray, total: np.ndarray, outer: np.ndarray, pool: floa
     means = total / n[:, None]
     cov = outer / n[:, None, None] - means[:, :, None] * means[:, None, :]
     pooled = (cov * n[:, None, None]).sum(axis=0) / n.sum()
-    scale = np.sqrt(np.diag(pooled)) + 1e-9
+    scale = np.sqrt(np.maximum(np.diag(pooled), 0) + 1e-8)  # a constant statistic has no variance
     whiteners, offsets = [], []
     for k in (0, 1):
         own = ((1 - pool) * cov[k] + pool * pooled) / np.outer(scale, scale)

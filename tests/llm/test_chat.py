@@ -1,0 +1,85 @@
+"""Chat formatting: grammar round trip, escapes, digests."""
+
+import hashlib
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from spindle.llm import chat, queries
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+PIECES = st.lists(st.sampled_from(["<s>", "</s>", "[INST]", "[/INST]", "\\", "<", "s>", "[", "/INST]", "a", " ", "\n", "é", "\U0001f600"]),
+                  max_size=12).map("".join)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.tuples(PIECES, PIECES), min_size=1, max_size=4))
+def test_any_turns_are_read_back_from_the_whole_conversation(turns):
+    segments = [chat.format_turn(role, text) for role, text in turns]
+    assert chat.parse("".join(s[0] for s in segments)) == turns
+    for (_, text), (formatted, start, end) in zip(turns, segments, strict=True):
+        assert re.sub(r"\\(.)", r"\1", formatted[start:end], flags=re.DOTALL) == text
+
+
+def test_plain_text_is_not_escaped():
+    assert chat.format_turn("user", "hi [x] <b>")[0] == "<s>[INST]user[/INST]hi [x] <b></s>"
+
+
+def test_control_strings_are_escaped():
+    formatted, start, end = chat.format_turn("user", queries.PROBE_TEXT)
+    assert formatted[start:end] == "\\</s>\\[INST] ok \\[/INST]"
+    assert chat.parse(formatted) == [("user", queries.PROBE_TEXT)]
+
+
+def test_malformed_strings_are_refused():
+    for bad in ("x", "<s>", "<s>[INST]user[/INST]hi", "<s>x[INST]user[/INST]hi</s>", "<s>[INST]u[/INST]a[INST]</s>",
+                "<s>[INST]u[/INST]a</s>tail", "</s>"):
+        assert chat.parse(bad) is None
+
+
+def expected(turns):
+    """Digest of (role, text) turns, straight from the definition."""
+    loss = "".join(t for r, t in turns if r == "assistant")
+    return (len(turns), hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest(),
+            len(loss), hashlib.sha256(loss.encode()).hexdigest())
+
+
+def digests(df):
+    rows = chat.conversation_digests(chat.format_conversations(df)).collect()
+    return {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in rows}
+
+
+def test_edge_cases(spark):
+    long = "ab</s>" * 50_000
+    rows = [(1, 2, "assistant", "b"), (1, 1, "user", "a"), (1, None, None, None), (2, 0, "assistant", long),
+            (3, 0, "assistant", ""), (None, 5, "user", "x"), (None, 4, "user", "y"),
+            (4, 1, "user", "same"), (4, 1, "user", "same"), (4, 1, "assistant", "tie")]
+    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "'x' as formatted", "1 as loss_start")
+    assert digests(df) == {
+        1: expected([("", ""), ("user", "a"), ("assistant", "b")]),
+        2: expected([("assistant", long)]), 3: expected([("assistant", "")]),
+        None: expected([("user", "y"), ("user", "x")]),
+        4: expected([("assistant", "tie"), ("user", "same"), ("user", "same")])}
+    assert digests(spark.createDataFrame([], SCHEMA)) == {}
+
+
+def test_a_hot_conversation_streams_through(spark):
+    df = spark.range(0, 30_000, 1, 8).selectExpr("if(id % 3 = 0, id, -5) as conv_id", "id as turn",
+                                                 "if(id % 2 = 0, 'user', 'assistant') as role", "concat('t', id) as text")
+    got = digests(df)
+    turns = [("user" if i % 2 == 0 else "assistant", f"t{i}") for i in range(30_000) if i % 3]
+    assert got[-5] == expected(turns) and len(got) == 10_001
+
+
+def test_query_over_the_table(spark):
+    import duckdb
+    from conftest import SF
+    got = {r.conv_id: r for r in queries.op1_chat_format(spark, SF).collect()}
+    table = {}
+    for conv, role, text in duckdb.sql(f"select conv_id, role, text from '{SF}/conversations.parquet' order by conv_id, turn").fetchall():
+        table.setdefault(conv, []).append((role or "", text or ""))
+    table[-1] = [("user", queries.PROBE_TEXT), ("assistant", queries.PROBE_TEXT)]
+    assert {k: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for k, r in got.items()} == \
+        {k: expected(v) for k, v in table.items()}
+    assert got[-1].formatted_chars == sum(len(chat.format_turn(r, t)[0]) for r, t in table[-1])

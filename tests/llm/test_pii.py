@@ -1,0 +1,88 @@
+"""Personal data: base patterns against plain regular expressions, bootstrapped extraction."""
+
+import hashlib
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from spindle.llm import pii, queries
+
+PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+         "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+",
+         "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def fine(kind, found):
+    digits = [int(c) for c in found if c in "0123456789"]
+    if kind == "ip":
+        return all(int(p) <= 255 for p in found.split("."))
+    if kind == "phone":
+        return 8 <= len(digits) <= 15
+    if kind == "card":
+        doubled = [d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(reversed(digits))]
+        return 16 <= len(digits) <= 19 and sum(doubled) % 10 == 0
+    return True
+
+
+def brute(text):
+    return [(k, m.start(), m.end()) for k, p in PLAIN.items() for m in re.finditer(p, text) if fine(k, m.group())]
+
+
+PIECES = st.lists(st.sampled_from(["a@b.co", "@", "x.y@", "-b.c", "..", "é", " ", "1", "25", "255.", "256.", "0001.", "+1", "(", ")", "-",
+                                   "4111 1111 1111 1111", "4111111111111112", "+1 (017) 555-7713", "10.0.0.1", "\n", "%"]),
+                  max_size=14).map("".join)
+
+
+@settings(max_examples=600, deadline=None)
+@given(PIECES)
+def test_base_spans_equal_plain_regular_expressions(text):
+    assert pii.base_spans(text) == brute(text)
+
+
+def answers(spark, rows, **options):
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as row", "'x' as spans", "'y' as seen")
+    return pii.document_spans(df, **options).collect()
+
+
+def test_contexts_of_seeds_find_unseen_identifiers(spark):
+    rows = [(i, f"please write to address user{i}@mail.com now and mind step 12345{i}0") for i in range(30)]
+    rows += [(100, "please write to address jane(at)corp77 now"), (101, "an order 9988776655 of parts"),
+             (102, "please write to address nobody"), (103, "my lucky step 5550001 again")]
+    got = {r.doc_id: r for r in answers(spark, rows)}
+    hidden = "jane(at)corp77"
+    at = rows[30][1].index(hidden)
+    assert got[100].spans == f"email:{at}:{at + len(hidden)}" and got[100].n_email == 0
+    assert got[100].base_sha256 == hashlib.sha256(b"").hexdigest()
+    assert [got[i].spans for i in (101, 102, 103)] == ["", "", ""]
+    assert all(got[i].spans == pii.listed(brute(rows[i][1])) for i in range(30))
+
+
+def test_few_or_mixed_seeds_find_nothing(spark):
+    few = [(i, f"write to address user{i}@mail.com") for i in range(2)] + [(9, "write to address jane(at)corp77")]
+    assert [r.spans for r in answers(spark, few) if r.doc_id == 9] == [""]
+    mixed = [(i, f"see value user{i}@mail.com") for i in range(20)] + [(50 + i, f"see value 10.0.0.{i}") for i in range(20)]
+    assert [r.spans for r in answers(spark, [*mixed, (99, "see value jane(at)corp77")]) if r.doc_id == 99] == [""]
+    copies = [(i, "write to address same@mail.com") for i in range(50)]
+    assert [r.spans for r in answers(spark, [*copies, (99, "write to address jane(at)corp77")]) if r.doc_id == 99] == [""]
+
+
+def test_edge_cases(spark):
+    text = "x@y.zz and " * 20_000
+    rows = [(1, None), (2, ""), (None, "a@b.cc"), (4, "a@b.cc"), (4, "a@b.cc"), (5, text), (6, "9" * 6000 + " " + "1." * 5000)]
+    got = sorted(((r.doc_id is None, r.doc_id or 0, r.n_email, r.n_ip, r.n_card, r.n_phone) for r in answers(spark, rows)))
+    assert got == [(False, 1, 0, 0, 0, 0), (False, 2, 0, 0, 0, 0), (False, 4, 1, 0, 0, 0), (False, 4, 1, 0, 0, 0), (False, 5, 20_000, 0, 0, 0),
+                   (False, 6, 0, len([1 for s in brute(rows[6][1]) if s[0] == "ip"]), 0, 0), (True, 0, 1, 0, 0, 0)]
+    assert answers(spark, []) == []
+
+
+def test_query_over_the_table(spark):
+    from conftest import SF
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = queries.op5_contextual_pii(spark, SF).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        base = brute(texts[r.doc_id])
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[0] == k for s in base) for k in pii.KINDS]
+        assert r.base_sha256 == hashlib.sha256(pii.listed(base).encode()).hexdigest()
+        assert set(pii.listed(base).split(",")) <= set(r.spans.split(","))
