@@ -124,8 +124,9 @@ def lost_lines(documents: DataFrame, row: str, min_chars: int = MIN_CHARS, rare:
 
     line = F.explode(F.array_distinct(F.filter("lines", lambda x, i: F.element_at("telling", i + 1))))
     holds = firsts.select("row", "place", line.alias("line"))
-    shared = (holds.groupBy("line").agg(F.count(F.lit(1)).alias("df"), F.min("place").alias("earliest"))
-              .filter("df > 1"))
+    # written, so that the join below reads plain shuffles, whose hot lines Spark can split
+    shared = keep(holds.groupBy("line").agg(F.count(F.lit(1)).alias("df"), F.min("place").alias("earliest"))
+                  .filter("df > 1"), "line-shared")
     pairs = (holds.join(shared, "line").filter(F.col("row") != F.col("earliest.row"))
              .groupBy(F.col("row").alias("later"), F.col("earliest.row").alias("earlier"))
              .agg(F.min("df").alias("df"), F.count(F.lit(1)).alias("n"))
