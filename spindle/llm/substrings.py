@@ -5,16 +5,18 @@ corpus (the same document included) is removed.  Strings never cross documents,
 judged on the input.
 
 1. Equal texts are one class; a class with copies and ``length`` bytes or more goes whole.
-2. Anchors.  In every string of ``length`` bytes the last least hash of its ``GRAM``-byte
-   grams is an anchor, so equal strings have an anchor with the same hash at the same
-   place.  Anchors whose hash occurs once cannot lie in a repeat.
+2. Anchors.  Every string of ``length`` bytes holds an anchor whose hash is the least of its
+   ``GRAM``-byte grams, so equal strings hold anchors with the same hash.  An anchor serves
+   as long as its hash is the least, which keeps them few in periodic text too.  Anchors
+   whose hash occurs once, in no gram nearby either, cannot lie in a repeat.
 3. Segments.  Around each other anchor the bytes of all strings that may have chosen it
    are cut out.  Equal segments are counted and one of them goes on; all strings of a
    repeated segment are repeats.
 4. Segments with the same anchor hash form a group; a group larger than ``GROUP_BYTES`` is
-   split by content: each segment into two halves of its strings, grouped by the bytes
-   that all strings of the half share.  Splitting ends at single strings, where equal
-   ones have been merged, so any group becomes small enough.
+   split by content: segments are taken around every place of the anchor's gram in them,
+   so that equal strings lie alike, and cut into two halves of their strings, grouped by
+   the bytes that all strings of the half share.  Splitting ends at single strings, where
+   equal ones have been merged, so any group becomes small enough.
 5. Groups are dealt into shards of about ``SHARD_BYTES``.  A shard builds the suffix array
    of its segments by induced sorting and the permuted common prefixes; runs of suffixes
    sharing ``length`` bytes that hold two places of the corpus are repeats.
@@ -45,10 +47,11 @@ GROUP_BYTES, SHARD_BYTES = 1_000_000, 2_000_000
 SEPARATOR = np.uint8(255)  # in no UTF-8 text
 
 
-def anchors(raw: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the anchors of one text."""
+def anchors(raw: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions and hashes of the anchors of one text, and whether a string around the anchor may repeat
+    so closely that both share it (the hash recurs within a string's length)."""
     if len(raw) < length:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool)
     up, down = power_tables(len(raw) + 1)
     total = np.append(np.uint64(0), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:len(raw)]))
     hashes = mix((total[gram:] - total[:-gram]) * down[:len(raw) - gram + 1])
@@ -57,23 +60,36 @@ def anchors(raw: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.nda
     ahead = np.minimum.accumulate(rows, axis=1).ravel()
     behind = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
     least = np.minimum(behind[:n - width + 1], ahead[width - 1:n])
-    enters = hashes[width - 1:] == least
-    left = np.flatnonzero(~enters & np.append(True, least[1:] != least[:-1]))
-    last = [int(i) + width - 1 - int(np.argmin(hashes[i:i + width][::-1])) for i in left]
-    at = np.unique(np.concatenate([np.flatnonzero(enters) + width - 1, np.array(last, np.int64)]))
-    return at, hashes[at]
+    begin = np.flatnonzero(np.append(True, least[1:] != least[:-1]))  # windows with a new least hash
+    end = np.append(begin[1:], len(least))
+    at = begin + width - 1
+    entered = hashes[at] == least[begin]
+    more = []
+    for i in np.flatnonzero(~(entered & (at >= end - 1))):
+        window, here = int(begin[i]), int(at[i])
+        if not entered[i]:
+            here = at[i] = window + width - 1 - int(np.argmin(hashes[window:window + width][::-1]))
+        while here < end[i] - 1:  # the anchor has left, its hash has not
+            window = here + 1
+            here = window + width - 1 - int(np.argmin(hashes[window:window + width][::-1]))
+            more.append(here)
+    at = np.unique(np.append(at, more).astype(np.int64))
+    again = [np.count_nonzero(hashes[max(0, p - width):p + width] == hashes[p]) > 1 for p in at.tolist()]
+    return at, hashes[at], np.array(again, bool)
 
 
 def _anchor_rows(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            places, hashes = [], []
+            places, hashes, again = [], [], []
             for text in batch.column("text").to_pylist():
-                at, h = anchors(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8), length, gram)
+                at, h, close = anchors(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8), length, gram)
                 places.append(at.astype(np.int32))
                 hashes.append(h.view(np.int64))
+                again.append(close)
             yield (batch.drop_columns(["text"]).append_column("at", pa.array(places, pa.list_(pa.int32())))
-                   .append_column("hash", pa.array(hashes, pa.list_(pa.int64()))))
+                   .append_column("hash", pa.array(hashes, pa.list_(pa.int64())))
+                   .append_column("again", pa.array(again, pa.list_(pa.bool_()))))
 
     return run
 
@@ -149,6 +165,35 @@ def _repeats(length: int):
     return run
 
 
+def _around_all(length: int, gram: int):
+    """Segments around every place of the anchor's gram, for groups about to be split."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pick, anchors_, starts, parts = [], [], [], []
+            for n, (raw, anchor, start) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("bytes", "anchor", "start")),
+                                                         strict=True)):
+                key = raw[anchor - start:anchor - start + gram]
+                at = raw.find(key)
+                while at >= 0:
+                    low = max(0, at + gram - length)
+                    part = raw[low:at + length]
+                    if len(part) >= length:
+                        pick.append(n)
+                        anchors_.append(start + at)
+                        starts.append(start + low)
+                        parts.append(part)
+                    at = raw.find(key, at + 1)
+            for low in range(0, len(pick), 2000):
+                some = slice(low, low + 2000)
+                rows = batch.select(["grp", "lo", "hi", "row", "multi"]).take(pa.array(pick[some], pa.int64()))
+                yield (rows.append_column("anchor", pa.array(anchors_[some], pa.int64()))
+                       .append_column("start", pa.array(starts[some], pa.int64()))
+                       .append_column("bytes", pa.array(parts[some], pa.binary())))
+
+    return run
+
+
 def _halves(segments: DataFrame, length: int) -> DataFrame:
     """Each segment as two, of the first and second half of the places lo..hi, from the anchor, where strings start.
 
@@ -177,8 +222,11 @@ def covered_ranges(signed: DataFrame, documents: DataFrame, length: int = LENGTH
     classes = keep(signed.filter(F.col("n_bytes") >= length).groupBy("text_key")
                    .agg(F.min("row").alias("row"), (F.count(F.lit(1)) > 1).alias("multi")), "sub-classes")
     found = (signed.join(classes.select("row"), "row", "left_semi")
-             .select("row", F.explode(F.arrays_zip("hash", "at")).alias("mark")))
-    often = found.groupBy(F.col("mark.hash").alias("hash")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash")
+             .select("row", F.explode(F.arrays_zip("hash", "at", "again")).alias("mark")))
+    # written, so that the join below reads plain shuffles, whose hot anchors Spark can split
+    often = keep(found.groupBy(F.col("mark.hash").alias("hash"))
+                 .agg(F.count(F.lit(1)).alias("n"), F.max("mark.again").alias("again")).filter("n > 1 or again")
+                 .select("hash"), "sub-often")
     marks = keep(found.join(often, F.col("mark.hash") == F.col("hash"), "left_semi")
                  .groupBy("row").agg(F.collect_list("mark").alias("marks"))
                  .join(classes, "row").select("row", "multi", "text_key", "marks"), "sub-marks")
@@ -212,7 +260,12 @@ def covered_ranges(signed: DataFrame, documents: DataFrame, length: int = LENGTH
         small = ready if small is None else small.union(ready)
         if forward.filter("large").isEmpty():
             break
-        segments, level = _halves(forward.filter("large"), length), level + 1
+        segments, level = forward.filter("large"), level + 1
+        if level == 1:
+            segments = segments.select("grp", "lo", "hi", "anchor", "row", "start", "multi", "bytes").mapInArrow(
+                _around_all(length, gram), "grp bigint, lo int, hi int, row bigint, multi boolean, anchor bigint, "
+                                           "start bigint, bytes binary").withColumn("n", F.length("bytes"))
+        segments = _halves(segments, length)
     total = small.agg(F.sum("n")).first()[0] or 0
     shards = int(max(1, -(-total // shard_bytes)))
     dealt = (small.withColumn("shard", F.pmod(F.xxhash64("grp"), F.lit(shards)).cast("int"))
@@ -255,7 +308,7 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM,
         F.sha2(raw, 256).alias("whole_sha256"), body().alias("text"))
     signed = keep(named.mapInArrow(
         _anchor_rows(length, gram), "row bigint, doc_id bigint, text_key string, n_bytes bigint, whole_sha256 string, "
-                                    "at array<int>, hash array<bigint>"), "sub-anchors")
+                                    "at array<int>, hash array<bigint>, again array<boolean>"), "sub-anchors")
     ranges = keep(covered_ranges(signed, documents, length, gram, **sizes)
                   .groupBy("row").agg(F.collect_set(F.struct("low", "high")).alias("ranges"))
                   .join(signed.select("row", "text_key"), "row").select("text_key", "ranges"), "sub-ranges")
