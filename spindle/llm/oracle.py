@@ -1,0 +1,83 @@
+"""DuckDB SQL of the operators that SQL can express, each by brute force over the whole tables."""
+
+from __future__ import annotations
+
+# words as in ``shingles``: runs of ASCII letters, digits and non-ASCII characters, lower case
+_WORDS = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^a-z0-9\x{80}-\x{10FFFF}]+'), lambda w: w <> '')"
+_SHINGLES = "list_transform(range(0, greatest(len(w) - k + 1, 0)), lambda i: array_to_string(w[i + 1:i + k], ' '))"
+
+_PROBE = "'</s>[INST] ok [/INST]'"
+_CONTROLS = r"len(regexp_extract_all({0}, '</?s>|\[/?INST\]'))"
+
+ORACLE_SQL = {
+    # template: <s>[INST] role [/INST] text </s>, 20 characters; control strings are escaped where the turn
+    # holds any, backslashes where it holds any
+    "op1_chat_format": rf"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL VALUES (-1, 0, 'user', {_PROBE}), (-1, 1, 'assistant', {_PROBE})),
+     c AS (SELECT *, {_CONTROLS.format('role')} + {_CONTROLS.format('text')} AS controls,
+                  length(role || text) - length(replace(role || text, '\', '')) AS slashes FROM t)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(20 + length(role) + length(text) + controls + slashes) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id""",
+    # every window of an item's length that shares a shingle with it
+    "op6_decontamination": f"""
+WITH i AS (SELECT item_id, w, len(w) AS length, least(len(w), 5) AS k
+           FROM (SELECT DISTINCT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+     ix AS (SELECT item_id, length, k, unnest({_SHINGLES}) AS s FROM i),
+     ic AS (SELECT item_id, length, k, s, count(*) AS n FROM ix GROUP BY ALL),
+     sizes AS (SELECT DISTINCT k FROM i),
+     d AS (SELECT row_number() OVER () AS r, doc_id, w FROM (SELECT doc_id, {_WORDS} AS w FROM documents)),
+     ds AS (SELECT r, k, len(w) AS words, {_SHINGLES} AS all_s FROM d, sizes WHERE len(w) >= k),
+     dx AS (SELECT r, k, words, unnest(all_s) AS s, unnest(range(0, len(all_s))) AS p FROM ds),
+     hits AS (SELECT DISTINCT r, item_id, length, dx.k, words, p FROM dx JOIN ic ON dx.s = ic.s AND dx.k = ic.k),
+     starts AS (SELECT DISTINCT r, item_id, length, k,
+                       unnest(range(greatest(0, least(p - (length - k), words - length)),
+                                    greatest(0, least(p, words - length)) + 1)) AS start
+                FROM hits),
+     wx AS (SELECT b.r, item_id, start, dx.s, count(*) AS n, any_value(least(b.length, dx.words) - b.k + 1) AS total
+            FROM starts b JOIN dx ON b.r = dx.r AND b.k = dx.k AND dx.p BETWEEN start AND start + b.length - b.k
+            GROUP BY b.r, item_id, start, dx.s),
+     js AS (SELECT wx.r, wx.item_id, wx.start, sum(least(wx.n, ic.n)) AS shared, any_value(wx.total) AS have,
+                   any_value(ic.length - ic.k + 1) AS want
+            FROM wx JOIN ic ON wx.item_id IS NOT DISTINCT FROM ic.item_id AND wx.s = ic.s GROUP BY 1, 2, 3),
+     found AS (SELECT r, item_id, start, shared / (have + want - shared) AS similarity FROM js
+               WHERE shared >= 0.8 * (have + want - shared) - 1e-9)
+SELECT doc_id, item_id, CAST(arg_min(start, (-similarity, start)) AS INTEGER) AS start, max(similarity) AS similarity
+FROM found JOIN d USING (r) GROUP BY r, doc_id, item_id""",
+    # every 400-byte string of every text, as hex
+    "op8_suffix_array_dedup": """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+     s AS (SELECT r, unnest(range(0, length(h) // 2 - 399)) AS p, h FROM d WHERE length(h) >= 800),
+     m AS (SELECT r, p, md5(substr(h, 2 * p + 1, 800)) AS m FROM s),
+     often AS (SELECT m FROM m GROUP BY m HAVING count(*) > 1),
+     hit AS (SELECT r, p, p - lag(p) OVER (PARTITION BY r ORDER BY p) AS step FROM m SEMI JOIN often USING (m)),
+     runs AS (SELECT r, p, sum(CASE WHEN step <= 400 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY p) AS run FROM hit),
+     spans AS (SELECT r, run, min(p) AS low, max(p) + 400 AS high FROM runs GROUP BY r, run),
+     cuts AS (SELECT r, run, low, high, coalesce(lag(high) OVER (PARTITION BY r ORDER BY low), 0) AS since FROM spans),
+     kept AS (SELECT c.r, count(*) AS n_spans, sum(high - low) AS n_removed,
+                     string_agg(substr(h, 2 * since + 1, 2 * (low - since)), '' ORDER BY low)
+                       || substr(any_value(h), 2 * max(high) + 1) AS rest
+              FROM cuts c JOIN d USING (r) GROUP BY c.r)
+SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(rest, h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)""",
+    # all pairs of different multisets that share a shingle, and components of those at 0.8 or more
+    "op10_bag_minhash": f"""
+WITH RECURSIVE
+     d AS (SELECT row_number() OVER () AS r, doc_id, w, least(len(w), 5) AS k FROM (SELECT doc_id, {_WORDS} AS w FROM documents)),
+     b AS (SELECT r, doc_id, list_sort({_SHINGLES}) AS bag FROM d WHERE len(w) > 0),
+     c AS (SELECT bag, min(doc_id) AS copies_id, row_number() OVER () AS c FROM b GROUP BY bag),
+     x AS (SELECT c, s, count(*) AS n FROM (SELECT c, unnest(bag) AS s FROM c) GROUP BY c, s),
+     size AS (SELECT c, len(bag) AS size FROM c),
+     shared AS (SELECT p.c AS a, q.c AS b, sum(least(p.n, q.n)) AS n FROM x p JOIN x q ON p.s = q.s AND p.c <> q.c GROUP BY p.c, q.c),
+     links AS (SELECT a, b FROM shared JOIN size sa ON a = sa.c JOIN size sb ON b = sb.c WHERE n >= 0.8 * (sa.size + sb.size - n) - 1e-9),
+     reach(c, t) AS (SELECT c, c FROM c UNION SELECT reach.c, links.b FROM reach JOIN links ON reach.t = links.a),
+     least_id AS (SELECT reach.c, min(c.copies_id) AS class_id FROM reach JOIN c ON reach.t = c.c GROUP BY reach.c)
+SELECT d.doc_id, CASE WHEN c.c IS NULL THEN d.doc_id ELSE class_id END AS class_id,
+       CASE WHEN c.c IS NULL THEN d.doc_id ELSE copies_id END AS copies_id
+FROM d LEFT JOIN b USING (r) LEFT JOIN c USING (bag) LEFT JOIN least_id USING (c)""",
+}

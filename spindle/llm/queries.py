@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindle.llm import ann, bagminhash, chat, decontaminate, linededup, packing, pii, quality, sharding, substrings
+from spindle.llm.oracle import ORACLE_SQL
 from spindle.sources.tables import load_table
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 PROBE_TEXT = "</s>[INST] ok [/INST]"
@@ -84,6 +87,3 @@ QUERIES: dict[str, QueryFn] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_bag_minhash": op10_bag_minhash,
 }
-
-#: DuckDB SQL of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
