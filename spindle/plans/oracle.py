@@ -124,6 +124,7 @@ SELECT b.slice, w.word, count(*) AS total
 FROM words w JOIN batches b ON w.slice <= b.slice GROUP BY b.slice, w.word""",
     "stream_batch_counts": f"SELECT {_SLICE} AS slice, event_type AS word, count(*) AS n "
                            "FROM events GROUP BY 1, 2",
+    "stream_batch_times": f"SELECT {_SLICE} AS slice, count(*) AS n_rows, CAST(1 AS BIGINT) AS n_times FROM events GROUP BY 1",
     "stream_sql_counts": f"SELECT {_SLICE} AS slice, event_type AS word, count(*) AS total "
                          "FROM events GROUP BY 1, 2",
     "stream_sliding_counts": _WINDOWS,

@@ -24,7 +24,7 @@ from spindle.sources.folders import remove_folder
 from spindle.sources.tables import load_table
 from spindle.streaming import counts, sinks
 from spindle.streaming.replay import Replay
-from spindle.streaming.run import start, stream_session
+from spindle.streaming.run import batch_time_ms, start, stream_session
 
 N_SLICES = 4
 # Windows: events are replayed in spans of this many days, and the watermark waits this
@@ -86,6 +86,16 @@ def stream_prose_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _per_batch_dirs(spark, sliced_prose_lines(spark, sf_dir, N_SLICES), "prose-batch-counts")
 
 
+def stream_batch_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-10: rows and distinct batch times of every batch; all rows of a batch see one time."""
+    out = scratch_path(spark, "batch-times")
+    replayed(spark, event_lines(spark, sf_dir), "batch-times", lambda s, ck: start(
+        counts.stream_words(s, keep=("slice",)), ck, foreach_batch=lambda df, bid: sinks.write_batch_partition(
+            df.select("slice", batch_time_ms().alias("time_ms")), out, bid)))
+    times = spark.read.parquet(out)
+    return times.groupBy("slice").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("time_ms").alias("n_times"))
+
+
 def _sql_counts(spark: SparkSession, lines: DataFrame, name: str) -> DataFrame:
     out = scratch_path(spark, name)
     sql = "SELECT slice, word, count(*) AS total FROM {view} GROUP BY slice, word"
@@ -213,6 +223,7 @@ def sink_timed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 STREAM_QUERIES = {
     "stream_batch_counts": stream_batch_counts,
+    "stream_batch_times": stream_batch_times,
     "stream_sql_counts": stream_sql_counts,
     "stream_prose_batch_counts": stream_prose_batch_counts,
     "stream_prose_sql_counts": stream_prose_sql_counts,
