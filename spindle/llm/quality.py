@@ -28,8 +28,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from spindle.llm.common import body, keep
+from spindle.llm.common import body, free_name, keep
+from spindle.operators.joins import checked_broadcast
 
 N_FEATURES = 16
 POOL, RIDGE, TEMPERATURE = 0.1, 0.02, 4.0
@@ -182,12 +184,8 @@ def accepted_documents(documents: DataFrame, labels: DataFrame, accept: float =
 
     Texts are read twice: labelled training rows for the fit, all rows for the scores.
     """
-    from pyspark.sql.types import DoubleType, StructField, StructType
-
-    from spindle.llm.common import free_name
-
     wanted = labels.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    train = documents.filter(~held_out()).join(wanted, "doc_id", "left_semi")
+    train = documents.filter(~held_out()).join(checked_broadcast(wanted, "doc_id"), "doc_id", "left_semi")
     model = fit(document_features(train), labels)
     score = free_name(documents, "score")
     schema = StructType([*documents.schema.fields, StructField(score, DoubleType())])
