@@ -1,4 +1,4 @@
-"""Connected components of a table of links, by label spreading with pointer jumping."""
+"""Connected components of a table of links, by contraction."""
 
 from __future__ import annotations
 
@@ -11,20 +11,24 @@ from spindle.llm.common import keep
 def connected_components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of ``links`` (a, b); a component is named by its least node.
 
-    Each round a node takes the least label around it, then the label of its label.
-    A round's labels are written to the shared folder; the loop ends when a round
-    changes nothing, after a number of rounds logarithmic in the longest path for most graphs.
+    Each round every node points to the least node around it, pointers are followed one
+    step further, and the links are drawn anew between the nodes pointed to.  Links
+    inside a merged part vanish, so rounds shrink fast (a star is done in one), and
+    pointers double, so long paths take a logarithmic number of rounds.  Each round is
+    written to the shared folder.
     """
-    both = keep(links.select("a", "b").union(links.select("b", "a")).filter("a != b").distinct()
-                .toDF("node", "other"), "cc-edges")
-    labels = keep(both.groupBy("node").agg(F.least("node", F.min("other")).alias("component")), "cc-labels")
-    while True:
-        around = (both.join(labels.select(F.col("node").alias("other"), "component"), "other")
-                  .groupBy("node").agg(F.min("component").alias("seen")))
-        spread = labels.join(around, "node").select("node", F.col("component").alias("old"),
-                                                    F.least("component", "seen").alias("now"))
-        jump = labels.select(F.col("node").alias("now"), F.col("component").alias("further"))
-        moved = keep(spread.join(jump, "now").select("node", "old", F.least("now", "further").alias("component")), "cc-labels")
-        labels = moved.select("node", "component")
-        if moved.filter("component != old").isEmpty():
-            return labels
+    edges = keep(links.select("a", "b").filter("a != b").distinct(), "cc-edges")
+    ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    labels = keep(ends.withColumn("component", F.col("node")), "cc-labels")
+    while not edges.isEmpty():
+        both = edges.union(edges.select("b", "a")).toDF("node", "other")
+        near = both.groupBy("node").agg(F.least("node", F.min("other")).alias("to"))
+        near = keep(near, "cc-near")
+        further = near.select(F.col("node").alias("to"), F.col("to").alias("root"))
+        to = keep(near.join(further, "to").select("node", "root"), "cc-pointers")
+        labels = keep(labels.join(to.withColumnRenamed("node", "component"), "component", "left")
+                      .select("node", F.coalesce("root", "component").alias("component")), "cc-labels")
+        edges = keep(edges.join(to.toDF("a", "root_a"), "a").join(to.toDF("b", "root_b"), "b")
+                     .select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+                     .filter("a != b").distinct(), "cc-edges")
+    return labels
