@@ -85,7 +85,7 @@ def union_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Partition numbers of the layout queries, the same at every size.
-LAYOUT_LEFT, LAYOUT_RIGHT, LAYOUT_MERGED, LAYOUT_SPREAD = 96, 64, 96, 320
+LAYOUT_LEFT, LAYOUT_RIGHT, LAYOUT_MERGED, LAYOUT_SPREAD = 48, 32, 48, 160
 KEY_PARTITIONS = 128
 
 

@@ -83,9 +83,9 @@ FROM orders""",
     "union_keys": "SELECT o_orderkey AS id FROM orders UNION ALL SELECT l_orderkey AS id FROM lineitem",
     "layout_sizes": """
 WITH t AS (SELECT (SELECT count(*) FROM orders) + (SELECT count(*) FROM lineitem) AS n_rows)
-SELECT 'union' AS stage, CAST(160 AS BIGINT) AS n_partitions, n_rows FROM t
-UNION ALL SELECT 'coalesce', 96, n_rows FROM t
-UNION ALL SELECT 'repartition', 320, n_rows FROM t""",
+SELECT 'union' AS stage, CAST(80 AS BIGINT) AS n_partitions, n_rows FROM t
+UNION ALL SELECT 'coalesce', 48, n_rows FROM t
+UNION ALL SELECT 'repartition', 160, n_rows FROM t""",
     "partition_rows": """
 WITH parts AS (SELECT CAST(i AS INTEGER) AS partition FROM range(0, 128) t(i)),
      stats AS (SELECT CAST(((o_orderkey % 128) + 128) % 128 AS INTEGER) AS partition,
