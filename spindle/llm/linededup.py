@@ -4,9 +4,10 @@ r"""Line dedup by pairwise alignment.
    aligned.  A later copy is one aligned block and loses every line, provided it has a
    telling line at all (``min_chars`` characters or more).
 2. Every telling line that several classes hold leads each of them to its earliest
-   holder, so pairs grow with the lines, not with the square of a group.  A line held by
-   ``rare`` classes or fewer is enough to call two documents overlapping; of lines that
-   are more frequent (licence lines, say) it takes two shared by the same pair.
+   holder, so pairs grow with the lines, not with the square of a group.  One shared line
+   is enough, however many hold it, so what is lost does not depend on the corpus's size.
+   (With the option ``rare``, off by default, a line that more than ``rare`` classes hold
+   needs a second one shared by the same pair.)
 3. Overlapping pairs are aligned by patience diff over their line hashes: lines unique
    in both anchor the alignment along their longest increasing run, and the gaps between
    anchors are aligned the same way.  Aligned runs of equal lines with a telling line in
@@ -32,7 +33,6 @@ from pyspark.sql import functions as F
 from spindle.llm.common import body, free_name, keep
 
 MIN_CHARS = 24
-RARE = 100
 
 
 def _longest_rise(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -107,7 +107,7 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["later", "lost"])
 
 
-def lost_lines(documents: DataFrame, row: str, min_chars: int = MIN_CHARS, rare: int = RARE) -> DataFrame:
+def lost_lines(documents: DataFrame, row: str, min_chars: int = MIN_CHARS, rare: int | None = None) -> DataFrame:
     """(row, doc_id, n_lines, lost): the numbers (from 0) of the lines that each document loses.
 
     ``row`` names a column of unique, stable row numbers.
@@ -129,8 +129,11 @@ def lost_lines(documents: DataFrame, row: str, min_chars: int = MIN_CHARS, rare:
                   .filter("df > 1"), "line-shared")
     pairs = (holds.join(shared, "line").filter(F.col("row") != F.col("earliest.row"))
              .groupBy(F.col("row").alias("later"), F.col("earliest.row").alias("earlier"))
-             .agg(F.min("df").alias("df"), F.count(F.lit(1)).alias("n"))
-             .filter((F.col("df") <= rare) | (F.col("n") > 1)).select("later", "earlier"))
+             .agg(F.min("df").alias("df"), F.count(F.lit(1)).alias("n")))
+    if rare is not None:
+        pairs = pairs.filter((F.col("df") <= rare) | (F.col("n") > 1))
+    # written as well: the earliest holder of a very common line is a hot key of the joins below
+    pairs = keep(pairs.select("later", "earlier"), "line-pairs")
     sides = (pairs.join(firsts.select(F.col("row").alias("later"), F.col("lines").alias("later_lines"),
                                       F.col("telling").alias("later_telling")), "later")
              .join(firsts.select(F.col("row").alias("earlier"), F.col("lines").alias("earlier_lines")), "earlier"))

@@ -46,6 +46,12 @@ def test_frequent_lines_need_company(spark):
     assert sum(x[2] == [0, 1] for x in lost(spark, rows, rare=3)) == 5
 
 
+def test_very_frequent_lines_are_lost_without_company(spark):
+    passage = " ".join(f"word{i}" for i in range(60))
+    rows = [(i, f"{passage}\ndocument {i} has a body of its own") for i in range(150)]
+    assert [x[2] for x in lost(spark, rows)] == [[]] + [[0]] * 149
+
+
 def test_edge_cases(spark):
     rows = [(5, None), (4, None), (6, ""), (None, f"{A}\n{B}"), (7, f"{A}\n{B}"), (7, f"{A}\n{B}"), (8, "tiny"), (9, "tiny"),
             (10, "\n".join(f"line {i} of the very long document" for i in range(4000)))]
