@@ -4,10 +4,13 @@ r"""Line dedup by pairwise alignment.
    aligned.  A later copy is one aligned block and loses every line, provided it has a
    telling line at all (``min_chars`` characters or more).
 2. Every telling line that several classes hold leads each of them to its earliest
-   holder, so pairs grow with the lines, not with the square of a group.  One shared line
-   is enough, however many hold it, so what is lost does not depend on the corpus's size.
-   (With the option ``rare``, off by default, a line that more than ``rare`` classes hold
-   needs a second one shared by the same pair.)
+   holder, and so does every run of 2, 4, 8, ... consecutive lines with a telling line in
+   it: a shared block is covered by two such runs, whose earliest holders have them whole,
+   wherever its single lines came first.  Seeds, and with them pairs, grow with the lines
+   (times the logarithm of a text's lines), not with the square of a group.  One shared
+   line is enough, however many hold it, so what is lost does not depend on the corpus's
+   size.  (With the option ``rare``, off by default, a seed that more than ``rare``
+   classes hold needs a second one shared by the same pair.)
 3. Overlapping pairs are aligned by patience diff over their line hashes: lines unique
    in both anchor the alignment along their longest increasing run, and the gaps between
    anchors are aligned the same way.  Aligned runs of equal lines with a telling line in
@@ -26,6 +29,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +37,8 @@ from pyspark.sql import functions as F
 from spindle.llm.common import body, free_name, keep
 
 MIN_CHARS = 24
+BASE = np.uint64(0x9E3779B97F4A7C15)
+BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
 def _longest_rise(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -99,6 +105,46 @@ def common_blocks(later: Sequence[int], earlier: Sequence[int], telling: Sequenc
     return out
 
 
+def run_hashes(lines: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of runs of lines (``ends`` exclusive); a single line's is its own."""
+    power = np.cumprod(np.full(len(lines), BASE))
+    back = np.cumprod(np.full(len(lines), BASE_INVERSE))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(lines.view(np.uint64) * power)])
+    return ((sums[ends] - sums[starts]) * back[starts]).view(np.int64)
+
+
+def longer_runs(lines: np.ndarray, telling: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Hashes of the runs of 2, 4, 8, ... lines with a telling line, all telling ones in ``common``.
+
+    Runs with a telling line that no other text holds cannot be shared, and are left out.
+    """
+    told = np.concatenate([[0], np.cumsum(telling)])
+    alone = np.concatenate([[0], np.cumsum(telling & ~np.isin(lines, common))])
+    found, width = [np.zeros(0, np.int64)], 2
+    while width <= len(lines):
+        starts = np.flatnonzero((told[width:] > told[:-width]) & (alone[width:] == alone[:-width]))
+        if len(starts):
+            found.append(run_hashes(lines, starts, starts + width))
+        width *= 2
+    return np.unique(np.concatenate(found))
+
+
+def _lists(column: pa.ListArray) -> Iterator[np.ndarray]:
+    values, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    return (values[a:b] for a, b in zip(ends, ends[1:], strict=False))
+
+
+def _as_lists(found: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, found)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *found])))
+
+
+def _longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [longer_runs(*row) for row in zip(*(_lists(batch.column(c)) for c in ("lines", "telling", "common")), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("place"), _as_lists(found)], names=["row", "place", "seeds"])
+
+
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         columns = (batch.column(c).to_pylist() for c in ("later_lines", "earlier_lines", "later_telling"))
@@ -107,6 +153,14 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["later", "lost"])
 
 
+def _led(holds: DataFrame, name: str) -> DataFrame:
+    """(row, seed, df, earlier, later): the shared seeds of (row, place, seed), with their earliest holder."""
+    # written, so that the join below reads plain shuffles, whose hot seeds Spark can split
+    shared = keep(holds.groupBy("seed").agg(F.count(F.lit(1)).alias("df"), F.min("place").alias("earliest"))
+                  .filter("df > 1").select("seed", "df", F.col("earliest.row").alias("earlier")), f"{name}-shared")
+    return keep(holds.select("row", "seed").join(shared, "seed").withColumn("later", F.col("row") != F.col("earlier")), f"{name}-led")
+
+
 def lost_lines(documents: DataFrame, row: str, min_chars: int = MIN_CHARS, rare: int | None = None) -> DataFrame:
     """(row, doc_id, n_lines, lost): the numbers (from 0) of the lines that each document loses.
 
@@ -123,12 +177,13 @@ def lost_lines(documents: DataFrame, row: str, min_chars: int = MIN_CHARS, rare:
                   .withColumn("place", order), "line-firsts")
 
     line = F.explode(F.array_distinct(F.filter("lines", lambda x, i: F.element_at("telling", i + 1))))
-    holds = firsts.select("row", "place", line.alias("line"))
-    # written, so that the join below reads plain shuffles, whose hot lines Spark can split
-    shared = keep(holds.groupBy("line").agg(F.count(F.lit(1)).alias("df"), F.min("place").alias("earliest"))
-                  .filter("df > 1"), "line-shared")
-    pairs = (holds.join(shared, "line").filter(F.col("row") != F.col("earliest.row"))
-             .groupBy(F.col("row").alias("later"), F.col("earliest.row").alias("earlier"))
+    single = _led(firsts.select("row", "place", line.alias("seed")), "line")
+    common = single.groupBy("row").agg(F.collect_set("seed").alias("common"))
+    place = firsts.schema["place"].dataType.simpleString()
+    longer = _led(firsts.join(common, "row").select("row", "place", "lines", "telling", "common")
+                  .mapInArrow(_longer, f"row bigint, place {place}, seeds array<bigint>")
+                  .select("row", "place", F.explode("seeds").alias("seed")), "run")
+    pairs = (single.unionByName(longer).filter("later").groupBy(F.col("row").alias("later"), "earlier")
              .agg(F.min("df").alias("df"), F.count(F.lit(1)).alias("n")))
     if rare is not None:
         pairs = pairs.filter((F.col("df") <= rare) | (F.col("n") > 1))

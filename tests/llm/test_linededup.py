@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from spindle.llm import linededup
@@ -52,6 +53,24 @@ def test_very_frequent_lines_are_lost_without_company(spark):
     assert [x[2] for x in lost(spark, rows)] == [[]] + [[0]] * 149
 
 
+def test_copies_of_a_block_meet_wherever_its_lines_came_first(spark):
+    rows = [(1, f"{A}\n{B}"), (2, f"second\n{B}\n{A}"), (3, f"third\n{B}\n{A}")]
+    assert [x[2] for x in lost(spark, rows)][2] == [1, 2]
+    rows = [(1, f"one\n{A}"), (2, f"two\n{B}"), (3, f"three\n{A}\nshort\n{B}"), (4, f"four\n{A}\nshort\n{B}")]
+    assert [x[2] for x in lost(spark, rows)] == [[], [], [1, 3], [1, 2, 3]]
+
+
+def test_hashes_of_runs():
+    rng = random.Random(5)
+    lines = np.array([rng.randrange(-2 ** 63, 2 ** 63) for _ in range(9)])
+    lines = np.concatenate([lines, lines, lines[:4]])
+    starts, ends = (np.array(x) for x in zip(*((a, b) for a in range(22) for b in range(a + 1, 23)), strict=True))
+    keys = [tuple(lines[a:b]) for a, b in zip(starts, ends, strict=True)]
+    hashes = linededup.run_hashes(lines, starts, ends).tolist()
+    assert len(set(zip(keys, hashes, strict=True))) == len(set(keys)) == len(set(hashes))
+    assert all(len(k) > 1 or h == k[0] for k, h in zip(keys, hashes, strict=True))
+
+
 def test_edge_cases(spark):
     rows = [(5, None), (4, None), (6, ""), (None, f"{A}\n{B}"), (7, f"{A}\n{B}"), (7, f"{A}\n{B}"), (8, "tiny"), (9, "tiny"),
             (10, "\n".join(f"line {i} of the very long document" for i in range(4000)))]
