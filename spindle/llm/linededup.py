@@ -1,22 +1,23 @@
 r"""Line dedup by pairwise alignment.
 
 1. Equal texts are one class; only its first document (least doc_id, nulls last) is
-   aligned.  A later copy is one aligned block and loses every line, provided it has a
-   telling line at all (``min_chars`` characters or more).
-2. Every telling line that several classes hold leads each of them to its earliest
-   holder, and so does every run of 2, 4, 8, ... consecutive lines with a telling line in
-   it: a shared block is covered by two such runs, whose earliest holders have them whole,
-   wherever its single lines came first.  Seeds, and with them pairs, grow with the lines
-   (times the logarithm of a text's lines), not with the square of a group.  One shared
-   line is enough, however many hold it, so what is lost does not depend on the corpus's
-   size.  (With the option ``rare``, off by default, a seed that more than ``rare``
-   classes hold needs a second one shared by the same pair.)
+   aligned.  A later copy is one aligned block and loses every line, provided its lines
+   have ``min_chars`` characters together (line ends not counted).
+2. Every run of lines with ``min_chars`` characters together that holds no shorter such
+   run is a seed (often a line alone).  A seed that several classes hold leads each of them
+   to its earliest holder, and so does every longer run of 2, 4, 8, ... lines: a shared
+   block is covered by two such runs, whose earliest holders have them whole, wherever its
+   single lines came first.  Seeds, and with them pairs, grow with the lines (times the
+   logarithm of a text's lines), not with the square of a group.  One shared seed is
+   enough, however many hold it, so what is lost does not depend on the corpus's size.
+   (With the option ``rare``, off by default, a seed that more than ``rare`` classes hold
+   needs a second one shared by the same pair.)
 3. Overlapping pairs are aligned by patience diff over their line hashes: lines unique
    in both anchor the alignment along their longest increasing run, and the gaps between
-   anchors are aligned the same way.  Aligned runs of equal lines with a telling line in
-   them are common blocks, and the later document loses them.
+   anchors are aligned the same way.  Aligned runs of equal lines with ``min_chars``
+   characters together are common blocks, and the later document loses them.
 
-An earliest holder keeps its line, so no telling line vanishes from the corpus.
+An earliest holder keeps its line, so no line vanishes from the corpus.
 
 Lines end at ``\n``.  Defined cases: null text counts as one empty line and stays null;
 documents equal in id and text are copies of each other, the first written row comes
@@ -27,7 +28,8 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -90,14 +92,14 @@ def patience(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
     return sorted(matched)
 
 
-def common_blocks(later: Sequence[int], earlier: Sequence[int], telling: Sequence[bool]) -> list[int]:
-    """Lines of ``later`` in aligned blocks that hold a telling line."""
+def common_blocks(later: Sequence[int], earlier: Sequence[int], chars: Sequence[int], least: int = 1) -> list[int]:
+    """Lines of ``later`` in aligned blocks of ``least`` characters or more."""
     out: list[int] = []
     block: list[int] = []
     last = (-2, -2)
     for i, j in [*patience(later, earlier), (-1, -1)]:
         if (i, j) != (last[0] + 1, last[1] + 1) or i < 0:
-            if any(telling[x] for x in block):
+            if sum(chars[x] for x in block) >= least:
                 out += block
             block = []
         block.append(i)
@@ -113,16 +115,31 @@ def run_hashes(lines: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return ((sums[ends] - sums[starts]) * back[starts]).view(np.int64)
 
 
-def longer_runs(lines: np.ndarray, telling: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """Hashes of the runs of 2, 4, 8, ... lines with a telling line, all telling ones in ``common``.
+def least_runs(chars: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of ``least`` characters or more that hold no shorter one."""
+    sums = np.concatenate([[0], np.cumsum(chars, dtype=np.int64)])
+    ends = np.maximum(np.searchsorted(sums, sums[:-1] + least), np.arange(1, len(sums)))
+    starts = np.flatnonzero((ends < len(sums)) & (ends < np.append(ends[1:], len(sums))))
+    return starts, ends[starts]
 
-    Runs with a telling line that no other text holds cannot be shared, and are left out.
+
+def least_seeds(lines: np.ndarray, chars: np.ndarray, least: int) -> np.ndarray:
+    return np.unique(run_hashes(lines, *least_runs(chars, least)))
+
+
+def longer_seeds(lines: np.ndarray, chars: np.ndarray, common: np.ndarray, least: int) -> np.ndarray:
+    """Hashes of the runs of 2, 4, 8, ... lines that hold least runs, all of them in ``common``.
+
+    Runs with a least run that no other text holds cannot be shared, and are left out.
     """
-    told = np.concatenate([[0], np.cumsum(telling)])
-    alone = np.concatenate([[0], np.cumsum(telling & ~np.isin(lines, common))])
+    firsts, lasts = least_runs(chars, least)
+    alone = np.concatenate([[0], np.cumsum(~np.isin(run_hashes(lines, firsts, lasts), common))])
     found, width = [np.zeros(0, np.int64)], 2
     while width <= len(lines):
-        starts = np.flatnonzero((told[width:] > told[:-width]) & (alone[width:] == alone[:-width]))
+        starts = np.arange(len(lines) - width + 1)
+        # the least runs inside are those from number a to number b (exclusive); their ends rise
+        a, b = np.searchsorted(firsts, starts), np.searchsorted(lasts, starts + width, "right")
+        starts = starts[(a < b) & (alone[np.maximum(a, b)] == alone[a])]
         if len(starts):
             found.append(run_hashes(lines, starts, starts + width))
         width *= 2
@@ -139,16 +156,24 @@ def _as_lists(found: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *found])))
 
 
-def _longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _seed(batches: Iterator[pa.RecordBatch], make: Callable[..., np.ndarray], names: Sequence[str], least: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [longer_runs(*row) for row in zip(*(_lists(batch.column(c)) for c in ("lines", "telling", "common")), strict=True)]
+        found = [make(*row, least) for row in zip(*(_lists(batch.column(c)) for c in names), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("place"), _as_lists(found)], names=["row", "place", "seeds"])
 
 
-def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _seeds(texts: DataFrame, make: Callable[..., np.ndarray], least: int) -> DataFrame:
+    """(row, place, seed) of the line lists of ``texts``."""
+    names = [c for c in texts.columns if c not in ("row", "place")]
+    place = texts.schema["place"].dataType.simpleString()
+    return (texts.mapInArrow(partial(_seed, make=make, names=names, least=least), f"row bigint, place {place}, seeds array<bigint>")
+            .select("row", "place", F.explode("seeds").alias("seed")))
+
+
+def _align(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("later_lines", "earlier_lines", "later_telling"))
-        lost = [common_blocks(*row) for row in zip(*columns, strict=True)]
+        columns = (batch.column(c).to_pylist() for c in ("later_lines", "earlier_lines", "later_chars"))
+        lost = [common_blocks(*row, least) for row in zip(*columns, strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column("later"), pa.array(lost, pa.list_(pa.int32()))],
                                          names=["later", "lost"])
 
@@ -170,19 +195,15 @@ def lost_lines(documents: DataFrame, row: str, min_chars: int = MIN_CHARS, rare:
     held = keep(documents.select(
         F.col(row).alias("row"), F.col("doc_id"), F.md5(F.encode(body(), "UTF-8")).alias("text_key"),
         F.transform(lines, lambda x: F.xxhash64(x)).alias("lines"),
-        F.transform(lines, lambda x: F.length(x) >= min_chars).alias("telling")), "lines")
+        F.transform(lines, lambda x: F.length(x)).alias("chars")), "lines")
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row")
     classes = held.groupBy("text_key").agg(F.min(order).alias("first"))
     firsts = keep(held.join(classes.select(F.col("first.row").alias("row")), "row", "left_semi")
                   .withColumn("place", order), "line-firsts")
 
-    line = F.explode(F.array_distinct(F.filter("lines", lambda x, i: F.element_at("telling", i + 1))))
-    single = _led(firsts.select("row", "place", line.alias("seed")), "line")
+    single = _led(_seeds(firsts.select("row", "place", "lines", "chars"), least_seeds, min_chars), "line")
     common = single.groupBy("row").agg(F.collect_set("seed").alias("common"))
-    place = firsts.schema["place"].dataType.simpleString()
-    longer = _led(firsts.join(common, "row").select("row", "place", "lines", "telling", "common")
-                  .mapInArrow(_longer, f"row bigint, place {place}, seeds array<bigint>")
-                  .select("row", "place", F.explode("seeds").alias("seed")), "run")
+    longer = _led(_seeds(firsts.join(common, "row").select("row", "place", "lines", "chars", "common"), longer_seeds, min_chars), "run")
     pairs = (single.unionByName(longer).filter("later").groupBy(F.col("row").alias("later"), "earlier")
              .agg(F.min("df").alias("df"), F.count(F.lit(1)).alias("n")))
     if rare is not None:
@@ -190,14 +211,14 @@ def lost_lines(documents: DataFrame, row: str, min_chars: int = MIN_CHARS, rare:
     # written as well: the earliest holder of a very common line is a hot key of the joins below
     pairs = keep(pairs.select("later", "earlier"), "line-pairs")
     sides = (pairs.join(firsts.select(F.col("row").alias("later"), F.col("lines").alias("later_lines"),
-                                      F.col("telling").alias("later_telling")), "later")
+                                      F.col("chars").alias("later_chars")), "later")
              .join(firsts.select(F.col("row").alias("earlier"), F.col("lines").alias("earlier_lines")), "earlier"))
-    lost = (sides.select("later", "later_lines", "earlier_lines", "later_telling")
-            .mapInArrow(_align, "later bigint, lost array<int>")
+    lost = (sides.select("later", "later_lines", "earlier_lines", "later_chars")
+            .mapInArrow(partial(_align, least=min_chars), "later bigint, lost array<int>")
             .groupBy(F.col("later").alias("row"))
             .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("lost")))).alias("lost")))
     n_lines = F.size("lines")
-    whole = F.when(F.exists("telling", lambda t: t), F.sequence(F.lit(0), n_lines - 1))
+    whole = F.when(F.aggregate("chars", F.lit(0).cast("long"), lambda a, x: a + x) >= min_chars, F.sequence(F.lit(0), n_lines - 1))
     none = F.array().cast("array<int>")
     return (held.join(classes, "text_key").join(lost, "row", "left")
             .select("row", "doc_id", n_lines.cast("long").alias("n_lines"),

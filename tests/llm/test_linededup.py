@@ -71,6 +71,29 @@ def test_hashes_of_runs():
     assert all(len(k) > 1 or h == k[0] for k, h in zip(keys, hashes, strict=True))
 
 
+def test_passages_of_short_lines_are_found(spark):
+    verse = "\n".join(f"verse {i}" for i in range(30))
+    rows = [(1, f"{verse}\nfirst"), (2, f"second\n{verse}\nlast"), (3, f"third\nverse 7\nverse 8"), (4, verse), (5, verse), (6, verse[:20]), (7, verse[:20])]
+    assert [x[2] for x in lost(spark, rows)] == [[], [*range(1, 31)], [], [*range(30)], [*range(30)], [], []]
+
+
+def test_seeds_are_the_shared_runs():
+    rng = random.Random(6)
+    for _ in range(200):
+        chars = np.array([rng.randrange(7) for _ in range(rng.randrange(1, 14))])
+        lines = np.array([rng.randrange(2 ** 62) for _ in chars])
+        n = len(chars)
+        enough = {(a, b) for a in range(n) for b in range(a + 1, n + 1) if sum(chars[a:b]) >= 9}
+        least = {(a, b) for a, b in enough if not {(a + 1, b), (a, b - 1)} & enough}
+        assert set(zip(*(x.tolist() for x in linededup.least_runs(chars, 9)), strict=True)) == least
+        hashed = lambda runs: sorted(int(linededup.run_hashes(lines, np.array([a]), np.array([b]))[0]) for a, b in runs)
+        common = {r for r in least if rng.random() < 0.7}
+        inside = lambda a, b: {r for r in least if a <= r[0] and r[1] <= b}
+        longer = {(a, a + w) for w in (2, 4, 8) for a in range(n - w + 1) if inside(a, a + w) and inside(a, a + w) <= common}
+        assert linededup.least_seeds(lines, chars, 9).tolist() == hashed(least)
+        assert linededup.longer_seeds(lines, chars, np.array(hashed(common), np.int64), 9).tolist() == hashed(longer)
+
+
 def test_edge_cases(spark):
     rows = [(5, None), (4, None), (6, ""), (None, f"{A}\n{B}"), (7, f"{A}\n{B}"), (7, f"{A}\n{B}"), (8, "tiny"), (9, "tiny"),
             (10, "\n".join(f"line {i} of the very long document" for i in range(4000)))]
