@@ -14,7 +14,8 @@ r"""Line dedup by pairwise alignment.
    needs a second one shared by the same pair.)
 3. Overlapping pairs are aligned by patience diff over their line hashes: lines unique
    in both anchor the alignment along their longest increasing run, and the gaps between
-   anchors are aligned the same way.  Aligned runs of equal lines with ``min_chars``
+   anchors are aligned the same way; a gap without such lines gets a longest common
+   subsequence.  Aligned runs of equal lines with ``min_chars``
    characters together are common blocks, and the later document loses them.
 
 An earliest holder keeps its line, so no line vanishes from the corpus.
@@ -30,6 +31,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from functools import partial
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,7 @@ from pyspark.sql import functions as F
 from spindle.llm.common import body, free_name, keep
 
 MIN_CHARS = 24
+TABLE_BITS = 1 << 28
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -63,6 +66,53 @@ def _longest_rise(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return rise[::-1]
 
 
+def _steps(a: Sequence[int], b: Sequence[int]) -> Iterator[int]:
+    """For every prefix of ``a``: bit j is clear where b[j] lengthens the longest common subsequence."""
+    where: dict[int, int] = {}
+    for j, x in enumerate(b):
+        where[x] = where.get(x, 0) | 1 << j
+    full = v = (1 << len(b)) - 1
+    yield v
+    for x in a:
+        hit = v & where.get(x, 0)
+        v = (v + hit | v - hit) & full
+        yield v
+
+
+def _lengths(a: Sequence[int], b: Sequence[int]) -> list[int]:
+    """Lengths of the longest common subsequences of ``a`` and every prefix of ``b``."""
+    for v in _steps(a, b):
+        pass
+    return [0, *accumulate(int(c == "0") for c in f"{v:0{len(b)}b}"[::-1])][:len(b) + 1]
+
+
+def common_subsequence(a: Sequence[int], b: Sequence[int], a0: int, a1: int, b0: int, b1: int) -> list[tuple[int, int]]:
+    """Positions of a longest common subsequence of ``a[a0:a1]`` and ``b[b0:b1]``."""
+    both = set(a[a0:a1]) & set(b[b0:b1])
+    parts = [([i for i in range(a0, a1) if a[i] in both], [j for j in range(b0, b1) if b[j] in both])]
+    matched = []
+    while parts:
+        left, right = parts.pop()
+        x, y = [a[i] for i in left], [b[j] for j in right]
+        if len(x) > 1 and len(x) * len(y) > TABLE_BITS:  # halved, so that the table stays small
+            h = len(x) // 2
+            head, tail = _lengths(x[:h], y), _lengths(x[h:][::-1], y[::-1])[::-1]
+            cut = max(range(len(y) + 1), key=lambda j: head[j] + tail[j])
+            parts += [(left[:h], right[:cut]), (left[h:], right[cut:])]
+            continue
+        steps, i, j = list(_steps(x, y)), len(x), len(y)
+        while i and j:
+            bit = 1 << j - 1
+            if steps[i] & bit:
+                j -= 1
+            elif steps[i - 1] & bit:
+                i, j = i - 1, j - 1
+                matched.append((left[i], right[j]))
+            else:
+                i -= 1
+    return matched
+
+
 def patience(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
     """Aligned positions of equal items of ``a`` and ``b``, both rising."""
     matched = []
@@ -81,6 +131,7 @@ def patience(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
         where = {x: j for j, x in enumerate(b[b0:b1], b0) if in_b[x] == 1}
         anchors = _longest_rise([(i, where[x]) for i, x in enumerate(a[a0:a1], a0) if in_a[x] == 1 and x in where])
         if not anchors:
+            matched += common_subsequence(a, b, a0, a1, b0, b1)
             continue
         i0, j0 = a0, b0
         for i, j in anchors:

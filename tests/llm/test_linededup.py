@@ -29,6 +29,31 @@ def test_patience_aligns_equal_items_in_order():
     assert patience([], [1]) == [] and patience([1], []) == []
 
 
+def test_gaps_without_unique_lines_get_a_longest_common_subsequence(monkeypatch):
+    assert common_blocks([8, 1, 1, 9], [7, 1, 6], [0, 1, 1, 0]) in ([1], [2])
+    assert len(patience([8, 1, 1, 9], [7, 1, 6, 1, 5])) == 2
+
+    def longest(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            row, above = [0], row
+            for j, y in enumerate(b):
+                row.append(above[j] + 1 if x == y else max(above[j + 1], row[j]))
+        return row[-1]
+    rng = random.Random(8)
+    for n in range(400):
+        monkeypatch.setattr(linededup, "TABLE_BITS", 20 if n % 2 else 1 << 28)
+        a, b = ([rng.randrange(5) for _ in range(rng.randrange(16))] for _ in "ab")
+        pairs = sorted(linededup.common_subsequence(a, b, 0, len(a), 0, len(b)))
+        assert all(a[i] == b[j] for i, j in pairs) and len(pairs) == longest(a, b)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:], strict=False))
+
+
+def test_repeated_passages_are_found(spark):
+    rows = [(1, f"first\n{A}\nend of first"), (2, f"second\n{A}\n{A}\nend of second"), (3, f"third\n{A}\nmiddle of third\n{A}\nend of third")]
+    assert [len(x[2]) for x in lost(spark, rows)] == [0, 1, 1]
+
+
 def test_blocks_need_a_telling_line():
     assert common_blocks([5, 1, 6], [5, 1, 7], [False, True, True]) == [0, 1]
     assert common_blocks([5, 1, 6], [5, 2, 7], [False, True, True]) == []
