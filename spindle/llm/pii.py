@@ -2,17 +2,21 @@ r"""Personal data: fixed patterns, and bootstrapped contextual extraction of fur
 
 Base spans (leftmost, non-overlapping per kind): email, ip, card, phone.
 
-Bootstrapping.  Every identifier-like token (with an ASCII digit or ``@``) that no base
-span touches is a candidate; base spans are the seeds.  Both come with up to three lexical
-patterns: the word to the left, the two words to the left, the word to the right
-(lower-cased, outer punctuation stripped).  Spark joins patterns and distinct instances into a graph and
-scores it for a few rounds, per kind:
+Bootstrapping.  Every run of identifier-like tokens (with an ASCII digit or ``@``) that
+single blanks join and no base span touches is a candidate, of any length; a run ends at
+other punctuation between its tokens.  Base spans are the seeds.  Both come with up to
+three lexical patterns: the word to the left, the two words to the left, the word to the
+right (lower-cased, outer punctuation stripped; words with digits are passed over, so a
+run has the patterns of its tokens).  Spark joins patterns and distinct instances into a
+graph and scores it round by round, per kind:
 
 * a pattern's confidence is the summed confidence of its distinct instances, divided by
   one more than their number; seeds count 1 for their kind, candidates their own score;
   patterns with fewer than ``MIN_SEEDS`` distinct seeds of a kind get no score;
-* an instance's confidence is 1 - prod(1 - confidence) over its patterns' best.
+* an instance's confidence is 1 - prod(1 - confidence) over its patterns' best;
+* instances that reach ``ACCEPT`` are seeds of new patterns in the next round.
 
+There are ``ROUNDS`` rounds, and further ones while they accept more instances.
 Candidate places whose instance and one of whose patterns reach ``ACCEPT`` become
 spans of the kind.  Texts are read once; the graph is made of distinct values, so a
 passage copied a million times counts once.
@@ -46,10 +50,14 @@ TOKEN = re.compile(r"\S+")
 LIKELY = re.compile(r"[0-9@]")
 OUTER = " \t\r\n.,;:!?\"'()[]{}<>|=*#$%&"
 
+BLANKS = " \t\u00a0"
+PAIRS = dict(zip("([{", ")]}", strict=True))
+
 ROUNDS, MIN_SEEDS, ACCEPT = 3, 3, 0.9
-LEAST_CHARS, MOST_CHARS = 6, 64
+KEY_CHARS = 64
 
 Span = tuple[str, int, int]
+Span2 = tuple[int, int]
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -106,25 +114,65 @@ def _context(text: str, start: int, end: int) -> list[str]:
     return [" ".join(before[-n:]) + " _" for n in range(1, len(before) + 1)] + [f"_ {w}" for w in after]
 
 
-def sightings(text: str, base: list[Span]) -> Iterator[tuple[str | None, str, list[str], int, int]]:
-    """(kind or None, instance, patterns, start, end) of base spans and of other identifier-like tokens."""
-    for kind, start, end in base:
-        yield kind, text[start:end], _context(text, start, end), start, end
-    taken = sorted((start, end) for _, start, end in base)
-    at = 0
+def _core(text: str, start: int, end: int) -> tuple[int, int]:
+    """The place without outer punctuation, but with the brackets that belong to brackets inside."""
+    part = text[start:end]
+    a, b = start + len(part) - len(part.lstrip(OUTER)), start + len(part.rstrip(OUTER))
+    for opening, closing in PAIRS.items():
+        missing = text.count(closing, a, b) - text.count(opening, a, b)
+        if missing > 0 and a > start and text[a - 1] == opening:
+            a -= 1
+        elif missing < 0 and b < end and text[b] == closing:
+            b += 1
+    return a, b
+
+
+def _runs(text: str, taken: list[Span2]) -> Iterator[Span2]:
+    """Places of the runs of identifier-like tokens, outside the ``taken`` places (by start)."""
+    at = n = reach = 0
+    run: Span2 | None = None
     for m in LIKELY.finditer(text):
         if m.start() < at:
             continue
-        start, end = m.start(), m.end()
-        while start > 0 and not text[start - 1].isspace():
+        start = m.start()
+        while start > at and not text[start - 1].isspace():
             start -= 1
-        found = TOKEN.match(text, start)
-        end = at = found.end()
-        token = found.group()
-        start += len(token) - len(token.lstrip(OUTER))
-        end = start + len(token.strip(OUTER))
-        if LEAST_CHARS <= end - start <= MOST_CHARS and not any(a < end and start < b for a, b in taken):
-            yield None, text[start:end], _context(text, start, end), start, end
+        end = at = TOKEN.match(text, start).end()
+        a, b = _core(text, start, end)
+        while n < len(taken) and taken[n][0] < b:
+            reach = max(reach, taken[n][1])
+            n += 1
+        if reach > a:
+            if run:
+                yield _core(text, *run)
+            run = None
+        elif run and start == run[1] + 1 and text[run[1]] in BLANKS and _joins(text, run, start):
+            run = run[0], end
+        else:
+            if run:
+                yield _core(text, *run)
+            run = start, end
+    if run:
+        yield _core(text, *run)
+
+
+def _joins(text: str, run: Span2, start: int) -> bool:
+    """Whether the token that starts at ``start`` goes on with the run before it."""
+    last, first = text[run[1] - 1], text[start]
+    return (last not in OUTER or last in ")]}") and (first not in OUTER or first in PAIRS)
+
+
+def _key(found: str) -> str:
+    """The instance's name in the graph: long ones by digest."""
+    return found if len(found) <= KEY_CHARS else "sha256:" + hashlib.sha256(found.encode("utf-8", "surrogatepass")).hexdigest()
+
+
+def sightings(text: str, base: list[Span]) -> Iterator[tuple[str | None, str, list[str], int, int]]:
+    """(kind or None, instance, patterns, start, end) of base spans and of other identifier-like runs."""
+    for kind, start, end in base:
+        yield kind, _key(text[start:end]), _context(text, start, end), start, end
+    for start, end in _runs(text, sorted((start, end) for _, start, end in base)):
+        yield None, _key(text[start:end]), _context(text, start, end), start, end
 
 
 def listed(spans: list[Span]) -> str:
@@ -167,24 +215,22 @@ def confidences(scanned: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_S
     """Accepted patterns (pattern, kind) and instances (instance, kind), after iterative scoring of the graph."""
     seen = scanned.select(F.explode("seen").alias("s")).select("s.kind", "s.instance", "s.patterns")
     graph = keep(seen.select("instance", "kind", F.explode("patterns").alias("pattern")).distinct(), "pii-graph")
-    known = graph.filter("kind is not null")
-    edges = graph.select("pattern", "instance").distinct()
-    size = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("size"))
-    seeded = (known.select("pattern", "kind", "instance").distinct().groupBy("pattern", "kind")
-              .agg(F.count(F.lit(1)).alias("seeds")).filter(F.col("seeds") >= min_seeds).join(size, "pattern"))
-    seeded = keep(seeded, "pii-seeded")
-    open_edges = keep(graph.filter("kind is null").select("pattern", "instance").distinct()
-                      .join(seeded.select("pattern").distinct(), "pattern", "left_semi"), "pii-open")
-    gained = None  # (pattern, kind, gain): what the candidates add to the seeds
-    for n in range(rounds):
-        scored = seeded if gained is None else seeded.join(gained, ["pattern", "kind"], "left")
-        gain = F.lit(0.0) if gained is None else F.coalesce("gain", F.lit(0.0))
-        patterns = keep(scored.select("pattern", "kind", ((F.col("seeds") + gain) / (F.col("size") + 1)).alias("score")),
-                        f"pii-patterns-{n}")
+    own = graph.filter("kind is not null").select("pattern", "kind", "instance", F.lit(1.0).alias("score"))
+    open_edges = graph.filter("kind is null").select("pattern", "instance")
+    size = keep(graph.select("pattern", "instance").distinct().groupBy("pattern").agg(F.count(F.lit(1)).alias("size")), "pii-sizes")
+    n, accepted, instances = 0, -1, None
+    while True:
+        scored = own if instances is None else own.unionByName(open_edges.join(instances, "instance"))
+        patterns = keep(scored.groupBy("pattern", "kind", "instance").agg(F.max("score").alias("score"))
+                        .groupBy("pattern", "kind").agg(F.sum("score").alias("gain"), F.count_if(F.col("score") >= accept).alias("seeds"))
+                        .filter(F.col("seeds") >= min_seeds).join(size, "pattern")
+                        .select("pattern", "kind", (F.col("gain") / (F.col("size") + 1)).alias("score")), f"pii-patterns-{n}")
         instances = keep(open_edges.join(patterns, "pattern").groupBy("instance", "kind")
                          .agg((1 - F.exp(F.sum(F.log1p(-F.least("score", F.lit(1 - 1e-9)))))).alias("score")),
                          f"pii-instances-{n}")
-        gained = (open_edges.join(instances, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("gain")))
+        n, before, accepted = n + 1, accepted, instances.filter(F.col("score") >= accept).count()
+        if n >= rounds and accepted == before:
+            break
     best = F.max_by("kind", F.struct("score", "kind")).alias("kind")
     return (patterns.filter(F.col("score") >= accept).select("pattern", "kind"),
             instances.groupBy("instance").agg(best, F.max("score").alias("score"))

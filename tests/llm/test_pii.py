@@ -67,6 +67,28 @@ def test_few_or_mixed_seeds_find_nothing(spark):
     assert [r.spans for r in answers(spark, [*copies, (99, "write to address jane(at)corp77")]) if r.doc_id == 99] == [""]
 
 
+def found(text):
+    return [text[a:b] for kind, _, _, a, b in pii.sightings(text, pii.base_spans(text)) if kind is None]
+
+
+def test_candidates_are_runs_of_any_length():
+    assert found("call me at 555 123 4567 now, or (020) 7946-0958.") == ["555 123 4567", "(020) 7946-0958"]
+    assert found("room 7, 8 and a@b.cc 12 x\n34  56 " + "9" * 70) == ["7", "8", "12", "34", "56 " + "9" * 70]
+    assert found("(no. 12), [3] 4(5)") == ["12", "[3] 4(5)"]
+
+
+def test_identifiers_with_blanks_and_second_hops(spark):
+    rows = [(i, f"please call me at +1 555 010 {1000 + i} today") for i in range(30)]
+    rows += [(100 + i, f"please call me at 555 123 {4000 + i} today") for i in range(12)]
+    rows += [(200 + i, f"her own mobile number: 555 123 {4000 + i}") for i in range(12)]
+    rows += [(300, "her own mobile number: 020 7946 0958"), (301, "a street code 020 7946 0958")]
+    got = {r.doc_id: r.spans for r in answers(spark, rows)}
+    for doc, text in rows[30:]:
+        hidden = "020 7946 0958" if doc >= 300 else f"555 123 {4000 + doc % 100}"
+        at = text.index(hidden)
+        assert got[doc] == ("" if doc == 301 else f"phone:{at}:{at + len(hidden)}"), doc
+
+
 def test_edge_cases(spark):
     text = "x@y.zz and " * 20_000
     rows = [(1, None), (2, ""), (None, "a@b.cc"), (4, "a@b.cc"), (4, "a@b.cc"), (5, text), (6, "9" * 6000 + " " + "1." * 5000)]
