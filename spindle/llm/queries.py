@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindle.llm import ann, bagminhash, chat, decontaminate, linededup, packing, pii, quality, sharding, substrings
+from spindle.llm import (ann, bagminhash, centroids, chat, decontaminate, hosts, lexical, linededup, packing, pii,
+                         quality, sharding, substrings)
 from spindle.llm.oracle import ORACLE_SQL
 from spindle.sources.tables import load_table
 
@@ -75,6 +76,26 @@ def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select("doc_id", F.col("group_doc").alias("class_id"), F.col("class_doc").alias("copies_id"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return lexical.rank_documents(load_table(spark, sf_dir, "documents", "doc_id", "text"),
+                                  load_table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+PAGE_RULES = [hosts.Rule("org", "/", False), hosts.Rule("example.org", "/es/", True),
+              hosts.Rule("example.org", "/en/1", True), hosts.Rule("com", "/fr/", False), hosts.Rule("com", "/de/", True)]
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page, by rule or by the host's reputation."""
+    return hosts.judge_pages(load_table(spark, sf_dir, "pages", "page_id", "url"), PAGE_RULES)
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cluster of every vector of 64 components after 10 rounds from 8 centroids."""
+    return centroids.cluster_vectors(load_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_chat_format": op1_chat_format,
     "op2_line_dedup": op2_line_dedup,
@@ -86,4 +107,7 @@ QUERIES: dict[str, QueryFn] = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_bag_minhash": op10_bag_minhash,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_url_filter": op12_url_filter,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
