@@ -71,11 +71,23 @@ def partition_report(df: DataFrame, col: str = "id", partitions: int | None = No
 def partition_contents(df: DataFrame, col: str = "id") -> DataFrame:
     """PRT-3: the rows of every partition as ``(partition, value)``, without gathering them.
 
-    Empty partitions have no rows here; ``partition_counts`` lists them.
+    Empty partitions have no rows here; ``partition_listing`` and ``partition_counts`` list them.
     """
     return df.select(F.spark_partition_id().alias("partition"), F.col(col).alias("value"))
 
 
+def partition_listing(df: DataFrame, col: str = "id", partitions: int | None = None) -> DataFrame:
+    """PRT-3: the rows of every partition, and one row with a NULL value and ``empty`` for each empty partition.
+
+    Contents stay where they are: the empty partitions come from a count per partition (one
+    row each) and are added by a union.
+    """
+    held = partition_contents(df, col).withColumn("empty", F.lit(False))
+    none = (partition_counts(df, partitions).filter("n_rows = 0")
+            .select("partition", F.lit(None).cast(df.schema[col].dataType).alias("value"), F.lit(True).alias("empty")))
+    return held.unionByName(none)
+
+
 def layout_sizes(stages: list[tuple[str, DataFrame, int]]) -> DataFrame:
     """``(stage, n_partitions, n_rows)`` for each stage (name, frame, its partition number) of a layout.
 
@@ -86,3 +98,26 @@ def layout_sizes(stages: list[tuple[str, DataFrame, int]]) -> DataFrame:
             .select(F.lit(name).alias("stage"), "n_partitions", "n_rows")
             for name, df, n in stages]
     return union_all(*rows)
+
+
+def layout_flow(frames: list[tuple[DataFrame, int]], merged: int, spread_over: int) -> DataFrame:
+    """Union (SET-1), coalesce (PRT-1), repartition (PRT-2) and their sizes (PRT-4), in one pass over the rows.
+
+    ``frames`` are the united frames with their partition numbers.  Each row notes its
+    partition number as it passes through a stage, so one aggregate sees all three stages:
+    ``(stage, n_partitions, n_held, n_rows)``, ``n_held`` being the partitions with rows.
+    Rows are moved once, by the repartition.
+    """
+    at = F.spark_partition_id
+    united = union_all(*(df.select() for df, _ in frames)).select(at().alias("united"))
+    narrowed = coalesce_to(united, merged).select("united", at().alias("merged"))
+    placed = repartition_to(narrowed, spread_over).select("united", "merged", at().alias("spread"))
+    # partial counts inside each task: at most one row per united partition and task
+    counted = placed.groupBy("united", "merged", "spread").agg(F.count(F.lit(1)).alias("n"))
+    totals = counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+                         *(F.size(F.collect_set(c)).cast("long").alias(c) for c in ("united", "merged", "spread")))
+    sizes = [("union", sum(n for _, n in frames), "united"), ("coalesce", min(merged, sum(n for _, n in frames)), "merged"),
+             ("repartition", spread_over, "spread")]
+    stages = F.array(*(F.struct(F.lit(name).alias("stage"), F.lit(n).cast("long").alias("n_partitions"),
+                                F.col(c).alias("n_held")) for name, n, c in sizes))
+    return totals.select(F.explode(stages).alias("s"), "n_rows").select("s.*", "n_rows")

@@ -87,17 +87,14 @@ def union_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Partition numbers of the layout queries, the same at every size.
 LAYOUT_LEFT, LAYOUT_RIGHT, LAYOUT_MERGED, LAYOUT_SPREAD = 48, 32, 48, 160
 KEY_PARTITIONS = 128
+LISTED_PLACES = 96
 
 
 def layout_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Union of two layouts, coalesced without a shuffle, then reshuffled."""
+    """Union of two layouts, coalesced without a shuffle, then reshuffled: the sizes, from one pass."""
     left = layout.repartition_to(_order_keys(spark, sf_dir), LAYOUT_LEFT)
     right = layout.repartition_to(_line_keys(spark, sf_dir), LAYOUT_RIGHT)
-    unioned = layout.union_all(left, right)
-    merged = layout.coalesce_to(unioned, LAYOUT_MERGED)
-    spread = layout.repartition_to(merged, LAYOUT_SPREAD)
-    return layout.layout_sizes([("union", unioned, LAYOUT_LEFT + LAYOUT_RIGHT), ("coalesce", merged, LAYOUT_MERGED),
-                                ("repartition", spread, LAYOUT_SPREAD)])
+    return layout.layout_flow([(left, LAYOUT_LEFT), (right, LAYOUT_RIGHT)], LAYOUT_MERGED, LAYOUT_SPREAD).drop("n_held")
 
 
 def _placed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,6 +113,24 @@ def partition_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.partition_contents(_placed_keys(spark, sf_dir), "id")
 
 
+def partition_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRT-3: all 128 partitions with their keys, of which every fourth is empty by its rule."""
+    place = F.pmod("id", F.lit(LISTED_PLACES)).cast("int")
+    place = place + F.floor(place / 3).cast("int")  # 0, 1, 2, 4, 5, 6, 8, ...
+    placed = _order_keys(spark, sf_dir).repartitionById(KEY_PARTITIONS, place)
+    return layout.partition_listing(placed.withColumn("id", F.col("id").cast("string")), "id", KEY_PARTITIONS)
+
+
+def clean_top_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-9 in the main pass: the 10 most frequent clean words, with the token counters observed on the way."""
+    top, seen = text.stopword_report(text.clean_words(prose_lines(spark, sf_dir)), catalog_stopwords(spark), 10)
+    path = scratch_path(spark, "clean-top-report")
+    top.write.parquet(path)
+    counters = seen.get
+    return spark.read.schema(top.schema).parquet(path).withColumns(
+        {name: F.lit(counters[name]).cast("long") for name in ("n_tokens", "n_stop")})
+
+
 def saved_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """avg_by_key saved as ``(key,value)`` text lines, then read back."""
     path = scratch_path(spark, "saved-pairs")
@@ -142,5 +157,7 @@ BATCH_QUERIES = {
     "layout_sizes": layout_sizes,
     "partition_rows": partition_rows,
     "partition_contents": partition_contents,
+    "partition_listing": partition_listing,
+    "clean_top_report": clean_top_report,
     "saved_pairs": saved_pairs,
 }

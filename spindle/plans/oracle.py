@@ -95,6 +95,17 @@ SELECT p.partition, coalesce(s.n_rows, 0) AS n_rows, s.min_value, s.max_value
 FROM parts p LEFT JOIN stats s USING (partition)""",
     "partition_contents": """
 SELECT CAST(((o_orderkey % 128) + 128) % 128 AS INTEGER) AS partition, o_orderkey AS value FROM orders""",
+    "partition_listing": """
+WITH parts AS (SELECT CAST(i AS INTEGER) AS partition FROM range(0, 128) t(i)),
+     keys AS (SELECT CAST(((o_orderkey % 96) + 96) % 96 AS INTEGER) AS place, CAST(o_orderkey AS VARCHAR) AS value FROM orders)
+SELECT p.partition, k.value, k.value IS NULL AS empty
+FROM parts p LEFT JOIN keys k ON p.partition = k.place + k.place // 3""",
+    "clean_top_report": _with(_LINES, _CLEAN, _STOP) + """
+SELECT word, count(*) AS n, (SELECT count(*) FROM cwords) AS n_tokens,
+       (SELECT count(*) FROM cwords WHERE word IN (SELECT word FROM stop)) AS n_stop
+FROM cwords
+WHERE word NOT IN (SELECT word FROM stop)
+GROUP BY word ORDER BY n DESC, word LIMIT 10""",
     "saved_pairs": """
 SELECT o_orderpriority AS key, sum(o_custkey)::DOUBLE / count(o_custkey) AS avg_value
 FROM orders GROUP BY o_orderpriority""",
@@ -111,6 +122,8 @@ GROUP BY w, event_type"""
 _TOTALS = "SELECT event_type AS word, count(*) AS total FROM events GROUP BY event_type"
 
 # the same lines and words with the document's slice
+_SLICED_CLEAN = (_LINES.replace("SELECT unnest", "SELECT CAST(((doc_id % 4) + 4) % 4 AS INTEGER) AS slice, unnest"),
+                 _CLEAN.replace("SELECT unnest", "SELECT slice, unnest"))
 _SLICED = (_LINES.replace("SELECT unnest", "SELECT CAST(((doc_id % 4) + 4) % 4 AS INTEGER) AS slice, unnest"),
            _WORDS.replace("SELECT unnest", "SELECT slice, unnest"))
 
@@ -133,6 +146,26 @@ FROM words w JOIN batches b ON w.slice <= b.slice GROUP BY b.slice, w.word""",
 SELECT event_type AS word,
        CAST(row_number() OVER (PARTITION BY event_type ORDER BY {_SLICE}, event_id) AS BIGINT) AS total
 FROM events""",
+    "stream_record_totals": f"""
+SELECT event_id, event_type AS word,
+       CAST(row_number() OVER (PARTITION BY event_type ORDER BY {_SLICE}, event_id) AS BIGINT) AS total
+FROM events""",
+    "stream_state_function": f"""
+SELECT word, CAST(sum(n) AS BIGINT) AS total, count(*) AS batches, max(n) AS most
+FROM (SELECT event_type AS word, {_SLICE} AS slice, count(*) AS n FROM events GROUP BY 1, 2) GROUP BY word""",
+    "stream_arrival_windows": f"""
+SELECT {_SLICE} AS slice, event_type AS word, CAST(5 AS BIGINT) AS n_windows, 5 * count(*) AS n FROM events GROUP BY 1, 2""",
+    "stream_cadence_counts": f"SELECT {_SLICE} AS slice, CAST(count(*) AS BIGINT) AS n_rows, true AS own_tick FROM events GROUP BY 1",
+    "stream_resumed_state": _TOTALS,
+    "stream_state_snapshots": f"""
+SELECT CAST(b AS BIGINT) AS batch, event_type AS word, count(*) AS total
+FROM range(0, 4) t(b) JOIN events ON {_SLICE} <= b GROUP BY 1, 2""",
+    "stream_stopword_counters": _with(*_SLICED_CLEAN, _STOP) + """
+SELECT slice, count(*) AS n_tokens, count(*) FILTER (WHERE word IN (SELECT word FROM stop)) AS n_stop,
+       count(*) FILTER (WHERE word NOT IN (SELECT word FROM stop)) AS n_kept
+FROM cwords GROUP BY slice""",
+    "sink_compacted_totals": """
+SELECT event_type AS word, count(*) + count(*) FILTER (WHERE user_id % 2 = 0) AS total FROM events GROUP BY event_type""",
     "stream_resumed_counts": _TOTALS,
     "stream_count_snapshot": _TOTALS,
     "sink_counter_totals": _TOTALS,

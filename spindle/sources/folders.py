@@ -22,6 +22,12 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in fs.listStatus(place) if f.isDirectory()) if fs.exists(place) else []
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in ``path``; empty if it does not exist."""
+    fs, place = _at(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(place) if f.isFile()) if fs.exists(place) else []
+
+
 def file_exists(spark: SparkSession, path: str) -> bool:
     fs, place = _at(spark, path)
     return fs.exists(place)

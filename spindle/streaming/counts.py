@@ -11,6 +11,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from pyspark.sql import types as T
 from spindle.functions.times import instant_to_ntz, ntz_to_instant
 from spindle.functions.tokens import space_tokens
 from spindle.session import cluster_cores
+from spindle.sources.folders import list_files
 from spindle.streaming.sinks import write_batch_partition
 
 # Largest run of consecutive running totals emitted as one row before expansion;
@@ -166,7 +168,28 @@ def snapshots(log: DataFrame, tag: str, last: int) -> DataFrame:
     return after.groupBy(tag, "word").agg(F.max("total").alias("total"))
 
 
-def state_totals(spark: SparkSession, checkpoint: str) -> DataFrame:
-    """STR-8 read-back: ``(word, total)`` from the state of a ``count_snapshot`` query in ``checkpoint``."""
-    state = spark.read.format("statestore").load(checkpoint)
+def last_batch(spark: SparkSession, checkpoint: str) -> int:
+    """The id of the last committed batch of a query's checkpoint, -1 if there is none."""
+    names = list_files(spark, f"{checkpoint}/commits")
+    return max((int(n) for n in names if n.isdigit()), default=-1)
+
+
+def state_totals(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """STR-8 read-back: ``(word, total)`` from the state of a ``count_snapshot`` query in ``checkpoint``.
+
+    ``batch_id`` is the batch after which the state is read (by default the last one); the
+    state store rebuilds it from its snapshots and changelogs, as far as those are retained.
+    """
+    reader = spark.read.format("statestore")
+    if batch_id is not None:
+        reader = reader.option("batchId", batch_id)
+    state = reader.load(checkpoint)
     return state.select(F.col("key.word").alias("word"), F.col("value.count").alias("total"))
+
+
+def state_snapshots(spark: SparkSession, checkpoint: str, batches: list[int]) -> DataFrame:
+    """STR-8: ``(batch, word, total)``, the state after each of ``batches``, read from the state store."""
+    if not batches:
+        return spark.createDataFrame([], "batch long, word string, total long")
+    after = [state_totals(spark, checkpoint, b).select(F.lit(b).cast("long").alias("batch"), "word", "total") for b in batches]
+    return reduce(DataFrame.unionByName, after)

@@ -1,0 +1,51 @@
+"""Windows from panes equal windows counted directly."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from spindle.streaming import counts, panes, sinks
+from spindle.streaming.replay import Replay
+from spindle.streaming.run import start, stream_session
+
+
+def _words(spark):
+    rows = [("2024-01-01 00:02:10", "a"), ("2024-01-01 00:02:59.999999", "a"), ("2024-01-01 00:03:00", "a"), ("2024-01-01 00:09:30", "b"),
+            ("1969-12-31 23:59:59", "a"), ("2024-01-01 00:02:10", "b")]
+    return spark.createDataFrame(rows, "t string, word string").select(F.col("t").cast("timestamp").alias("event_time"), "word")
+
+
+def _rows(df):
+    return sorted(tuple(r) for r in df.select("window_start", "word", "n").collect())
+
+
+@pytest.mark.parametrize("length,slide", [(300, 60), (300, 120), (90, 60), (60, 60), (60, 150)])
+def test_panes_give_the_windows(spark, length, slide):
+    words = _words(spark)
+    if slide <= length:
+        expected = _rows(counts.sliding_counts(words, length=f"{length} seconds", slide=f"{slide} seconds"))
+    else:  # windows with gaps between them, which Spark's window() does not allow
+        second = F.unix_seconds("event_time")
+        inside = words.filter(F.pmod(second, F.lit(slide)) < length).withColumn("s", second - F.pmod(second, F.lit(slide)))
+        expected = sorted(tuple(r) for r in inside.groupBy(F.timestamp_seconds("s").cast("timestamp_ntz"), "word").count().collect())
+    for count, combine in ((panes.pane_counts, panes.windows_of_panes), (panes.pane_counts_sql, panes.windows_of_panes_sql)):
+        assert _rows(combine(count(words, length_s=length, slide_s=slide), length, slide)) == expected
+
+
+def test_the_stream_holds_one_pane_a_record_and_drops_closed_ones(spark, tmp_dir):
+    from spindle.plans.stream import WATERMARK, timed_event_lines
+    events, queries, out = timed_event_lines(spark, "/root/testdata/sf0.001"), [], f"{tmp_dir}/panes"
+
+    def begin(stream):
+        words = counts.stream_words(counts.with_event_time(stream, "ts"), keep=("event_time",))
+        queries.append(start(panes.pane_counts(words, watermark=WATERMARK), f"{tmp_dir}/ck", output_mode="update",
+                             foreach_batch=lambda df, bid: sinks.write_batch_partition(df, out, bid)))
+        return queries[0]
+
+    replay = Replay(stream_session(spark, 4), events, "slice", f"{tmp_dir}/in")
+    replay.run(replay.slices, begin)
+    states = [op for p in queries[0].recentProgress for op in p["stateOperators"]]
+    assert 0 < sum(op["numRowsUpdated"] for op in states) <= events.count()
+    assert sum(op["numRowsRemoved"] for op in states) > 0 and sum(op["numRowsDroppedByWatermark"] for op in states) == 0
+    streamed = panes.windows_of_panes(sinks.latest_per_key(spark, out, ("pane", "word"), "n"))
+    direct = counts.sliding_counts(counts.stream_words(counts.with_event_time(events, "ts"), keep=("event_time",)))
+    assert _rows(streamed) == _rows(direct)
