@@ -112,10 +112,9 @@ def layout_flow(frames: list[tuple[DataFrame, int]], merged: int, spread_over: i
     united = union_all(*(df.select() for df, _ in frames)).select(at().alias("united"))
     narrowed = coalesce_to(united, merged).select("united", at().alias("merged"))
     placed = repartition_to(narrowed, spread_over).select("united", "merged", at().alias("spread"))
-    # partial counts inside each task: at most one row per united partition and task
-    counted = placed.groupBy("united", "merged", "spread").agg(F.count(F.lit(1)).alias("n"))
-    totals = counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
-                         *(F.size(F.collect_set(c)).cast("long").alias(c) for c in ("united", "merged", "spread")))
+    # partial inside each task: a count and three sets of partition numbers
+    totals = placed.agg(F.count(F.lit(1)).alias("n_rows"),
+                        *(F.size(F.collect_set(c)).cast("long").alias(c) for c in ("united", "merged", "spread")))
     sizes = [("union", sum(n for _, n in frames), "united"), ("coalesce", min(merged, sum(n for _, n in frames)), "merged"),
              ("repartition", spread_over, "spread")]
     stages = F.array(*(F.struct(F.lit(name).alias("stage"), F.lit(n).cast("long").alias("n_partitions"),

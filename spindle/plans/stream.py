@@ -60,9 +60,9 @@ def timed_event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def replayed(spark: SparkSession, source: DataFrame, name: str, start_fn: StartFn, runs: Runs = one_run,
-             afterwards: Callable[[str], None] | None = None) -> None:
+             afterwards: Callable[[str], None] | None = None, idle_batches: bool = True) -> None:
     """Run ``start_fn(stream, checkpoint)`` over all slices of ``source``; ``afterwards(checkpoint)`` still sees it."""
-    session = stream_session(spark, cluster_cores(spark))
+    session = stream_session(spark, cluster_cores(spark), idle_batches)
     root = scratch_path(spark, name)
     replay = Replay(session, source, "slice", f"{root}/input")
     for slices in runs(replay.slices):
@@ -132,7 +132,7 @@ def _windowed(spark: SparkSession, sf_dir: str, name: str, count: Callable[...,
         return start(count(words, watermark=WATERMARK), checkpoint, output_mode="update",
                      foreach_batch=lambda df, bid: sinks.write_batch_partition(df, out, bid))
 
-    replayed(spark, timed_event_lines(spark, sf_dir), name, begin)
+    replayed(spark, timed_event_lines(spark, sf_dir), name, begin, idle_batches=False)
     return combine(sinks.latest_per_key(spark, out, ("pane", "word"), "n"))
 
 

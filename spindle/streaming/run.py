@@ -28,10 +28,13 @@ def batch_time_ms() -> Column:
     return F.unix_millis(F.current_timestamp())
 
 
-def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+def stream_session(spark: SparkSession, state_partitions: int | None = None, idle_batches: bool = True) -> SparkSession:
     """A session of its own for a stream: RocksDB state with changelog checkpoints, and a number of
     state partitions that stateful queries of a new checkpoint keep for life.
 
+    ``idle_batches=False`` leaves out the batch without input that follows each batch to move
+    the watermark: in update mode it emits nothing, and the next batch drops the closed state.
+
     The caller's session keeps its settings; both share the cluster and the files.
     """
     own = spark.newSession()
@@ -39,6 +42,7 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
         own.conf.set(key, spark.conf.get(key))
     own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     own.conf.set(CHANGELOG_KEY, "true")
+    own.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(idle_batches).lower())
     if state_partitions:
         own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     return own

@@ -41,7 +41,7 @@ def test_the_stream_holds_one_pane_a_record_and_drops_closed_ones(spark, tmp_dir
                              foreach_batch=lambda df, bid: sinks.write_batch_partition(df, out, bid)))
         return queries[0]
 
-    replay = Replay(stream_session(spark, 4), events, "slice", f"{tmp_dir}/in")
+    replay = Replay(stream_session(spark, 4, idle_batches=False), events, "slice", f"{tmp_dir}/in")
     replay.run(replay.slices, begin)
     states = [op for p in queries[0].recentProgress for op in p["stateOperators"]]
     assert 0 < sum(op["numRowsUpdated"] for op in states) <= events.count()
