@@ -1,14 +1,22 @@
 """Approximate nearest neighbours by cosine with an inverted multi-index.
 
-Index: unit vectors are cut into two halves, each quantised by its own codebook of
-``centroids`` centres (k-means on a bounded sample: the ``sample`` vectors with the
-least hash); the pair of codes is the vector's cell.  Every vector is indexed.
+Index: unit vectors are cut into two halves, each quantised by its own codebook (k-means
+on a bounded sample, about ``sample`` vectors by hash); the pair of codes is the vector's
+cell.  Every vector is indexed.  Codebooks grow with the n indexed vectors: 8 n^(1/4)
+centres each, 512 at most, which bounds the cells that the driver lays out.
 
 Search: per query a heap walks centroid pairs by increasing summed distance until the
-visited cells hold ``share`` of the indexed vectors (and 64 at least); all entries of
-those cells are reranked by exact cosine in double precision.  There is no cap on a
-cell: rows are laid out in blocks of about ``block_rows``, a crowded cell taking
-several, and queries visit blocks in chunks of ``query_rows``.
+visited cells hold a share of the vectors (and 64 at least); all entries of those cells
+are reranked by exact cosine in double precision.  The share falls as the codebooks get
+finer: ``share`` = 0.5 at 2000 vectors, times (2000/n)^0.15, all below that size's 0.5
+(``visited_share``; the README has the recall measured at each size).  There is no cap on
+a cell: rows are laid out in blocks of about ``block_rows``, a crowded cell taking
+several.  Queries go through in chunks of neighbours (ordered by cell, about
+``query_rows`` each), and a block's rows go only to the chunks that visit it.
+
+Ties: a block keeps every entry within rounding of a query's k-th score, scores them in
+extended precision, so that vectors of one direction score the same, and passes on the
+``k + 1`` first by score and least id.
 
 Equal vectors are indexed once with their ``k + 1`` least ids, which are the only ones
 of them that can be among anyone's ``k`` nearest, so a vector that a third of the rows
@@ -35,7 +43,9 @@ from pyspark.sql import functions as F
 
 from spindle.llm.common import empty_frame, keep
 
-CENTROIDS, SAMPLE, SHARE = 64, 20_000, 0.5
+CENTROIDS_MOST, SAMPLE, SHARE = 512, 20_000, 0.5
+SHARE_AT, SHARE_POWER = 2000, 0.15
+ROUNDING = 1e-12
 BLOCK_ROWS, QUERY_ROWS = 4096, 2048
 RESULT = "query_id bigint, rank int, vec_id bigint, score double"
 
@@ -152,36 +162,52 @@ def _visit(index: MultiIndex, wanted: int):
     return run
 
 
+def codebook_size(n: int) -> int:
+    return max(1, min(CENTROIDS_MOST, int(np.ceil(8 * n**0.25))))
+
+
+def visited_share(n: int, share: float = SHARE) -> float:
+    """The share of ``n`` indexed vectors that a query visits."""
+    return min(1.0, share * (SHARE_AT / max(n, 1)) ** SHARE_POWER)
+
+
+def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Row-wise cosines, computed in extended precision and rounded once to doubles."""
+    a, b = a.astype(np.longdouble), b.astype(np.longdouble)
+    return ((a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))).astype(np.float64)
+
+
 def _rerank(keep_n: int):
+    """The ``keep_n`` first classes of a block for each visiting query, by score and least id."""
+
     def run(entries: pd.DataFrame, visits: pd.DataFrame) -> pd.DataFrame:
-        out = {"query_class": [], "score": [], "class_id": []}
-        if len(entries) and len(visits):
-            entries = entries.sort_values(["cell", "class_id"], ignore_index=True)
-            x = np.stack(entries["vector"].to_numpy()).astype(np.float64)
-            visits = visits.groupby("class_id", sort=True).agg({"vector": "first", "cells": lambda c: np.concatenate(list(c))})
-            q = np.stack(visits["vector"].to_numpy()).astype(np.float64)
-            unit_x, unit_q = _unit(x), _unit(q)
-            visitors: dict[int, list[int]] = {}
-            for i, cells in enumerate(visits["cells"]):
-                for cell in cells:
-                    visitors.setdefault(int(cell), []).append(i)
-            scores = np.full((len(q), len(x)), -np.inf)
-            cell_of = entries["cell"].to_numpy()
-            edges = np.flatnonzero(np.diff(cell_of, prepend=-1))
-            for low, high in zip(edges, [*edges[1:], len(x)], strict=True):
-                if who := visitors.get(int(cell_of[low])):
-                    scores[who, low:high] = unit_q[who] @ unit_x[low:high].T
-            n = min(keep_n, len(x))
-            best = np.argpartition(-scores, n - 1, axis=1)[:, :n]
-            row = np.repeat(np.arange(len(q)), n)
-            best = best.ravel()
-            found = np.isfinite(scores[row, best])
-            row, best = row[found], best[found]
-            a, b = q[row], x[best]
-            exact = (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
-            out = {"query_class": visits.index.to_numpy()[row], "score": exact,
-                   "class_id": entries["class_id"].to_numpy()[best]}
-        return pd.DataFrame(out)
+        if not len(entries) or not len(visits):
+            return pd.DataFrame({"query_class": [], "score": [], "class_id": []})
+        entries = entries.sort_values(["cell", "class_id"], ignore_index=True)
+        x = np.stack(entries["vector"].to_numpy()).astype(np.float64)
+        visits = visits.groupby("class_id", sort=True).agg({"vector": "first", "cells": lambda c: np.concatenate(list(c))})
+        q = np.stack(visits["vector"].to_numpy()).astype(np.float64)
+        unit_x, unit_q = _unit(x), _unit(q)
+        visitors: dict[int, list[int]] = {}
+        for i, cells in enumerate(visits["cells"]):
+            for cell in cells:
+                visitors.setdefault(int(cell), []).append(i)
+        scores = np.full((len(q), len(x)), -np.inf)
+        cell_of = entries["cell"].to_numpy()
+        edges = np.flatnonzero(np.diff(cell_of, prepend=-1))
+        for low, high in zip(edges, [*edges[1:], len(x)], strict=True):
+            if who := visitors.get(int(cell_of[low])):
+                scores[who, low:high] = unit_q[who] @ unit_x[low:high].T
+        n = min(keep_n, len(x))
+        least = -np.partition(-scores, n - 1, axis=1)[:, n - 1:n]
+        row, best = np.nonzero(np.isfinite(scores) & (scores >= least - ROUNDING))
+        exact = np.concatenate([cosine(q[row[i:i + 8192]], x[best[i:i + 8192]]) for i in range(0, len(row), 8192)]
+                               or [np.zeros(0)])
+        order = np.lexsort((entries["least"].to_numpy()[best], -exact, row))
+        row, best, exact = row[order], best[order], exact[order]
+        first = np.arange(len(row)) - np.searchsorted(row, row) < n
+        return pd.DataFrame({"query_class": visits.index.to_numpy()[row[first]], "score": exact[first],
+                             "class_id": entries["class_id"].to_numpy()[best[first]]})
 
     return run
 
@@ -191,11 +217,13 @@ def _usable(vector: Column) -> Column:
     return vector.isNotNull() & F.coalesce(fine, F.lit(False)) & F.exists(vector, lambda v: v != 0)
 
 
-def nearest(embeddings: DataFrame, is_query: Column, k: int = 5, centroids: int = CENTROIDS, share: float = SHARE,
+def nearest(embeddings: DataFrame, is_query: Column, k: int = 5, centroids: int | None = None, share: float = SHARE,
             sample: int = SAMPLE, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """The ``k`` nearest found of each row where ``is_query`` holds, of (vec_id, embedding)."""
     spark = embeddings.sparkSession
-    rows = (embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("vector"),
+    kind = embeddings.schema["embedding"].dataType.simpleString()
+    kind = kind if kind == "array<float>" else "array<double>"
+    rows = (embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("vector"),
                               F.coalesce(is_query, F.lit(False)).alias("asks"))
             .filter(F.col("vec_id").isNotNull() & _usable(F.col("vector"))))
     common = rows.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").first()
@@ -209,13 +237,16 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 5, centroids: int
     asking = keep(rows.filter("asks").select("vec_id", "vector")
                   .join(classes.select("class_id", "vector"), "vector").select("vec_id", "class_id"), "ann-queries")
 
-    drawn = classes.orderBy(F.xxhash64("vector"), "class_id").limit(sample).select("vector").collect()
+    n_classes = classes.count()
+    drawn = (classes.filter(F.pmod(F.xxhash64("vector"), F.lit(max(1, n_classes // sample))) == 0)
+             .select("vector").limit(sample).collect()) or classes.select("vector").limit(sample).collect()
     points = _unit(np.array([r["vector"] for r in drawn], np.float64))
     cut = max(1, points.shape[1] // 2)
     second = points[:, cut:] if points.shape[1] > 1 else np.zeros((len(points), 0))
+    centroids = centroids or codebook_size(n_classes)
     index = MultiIndex((kmeans(points[:, :cut], centroids), kmeans(second, centroids)))
-    entries = keep(classes.select("class_id", "vector").mapInArrow(
-        _assign(index), "class_id bigint, vector array<float>, cell int"), "ann-entries")
+    entries = keep(classes.select("class_id", "vector", F.col("members")[0].alias("least")).mapInArrow(
+        _assign(index), f"class_id bigint, vector {kind}, least bigint, cell int"), "ann-entries")
     counts = np.zeros(len(index.halves[0]) * len(index.halves[1]), np.int64)
     for r in entries.groupBy("cell").count().collect():  # at most centroids squared
         counts[r["cell"]] = r["count"]
@@ -224,18 +255,18 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 5, centroids: int
         [(c, int(index.first_block[c]), int(index.splits[c])) for c in np.flatnonzero(counts).tolist()],
         "cell int, first int, splits int")
 
-    n_asking = asking.select("class_id").distinct().count()
-    chunks = max(1, -(-n_asking // query_rows))
-    visits = (entries.join(asking.select("class_id").distinct(), "class_id", "left_semi").select("class_id", "vector")
-              .mapInArrow(_visit(index, max(64, int(np.ceil(share * counts.sum())))),
-                          "class_id bigint, vector array<float>, block int, cells array<int>")
-              .withColumn("chunk", F.pmod(F.xxhash64("class_id"), F.lit(chunks)).cast("int")))
+    wanted = max(64, int(np.ceil(visited_share(n_classes, share) * n_classes)))
+    askers = entries.join(asking.select("class_id").distinct(), "class_id", "left_semi").select("class_id", "vector", "cell")
+    chunks = max(1, -(-askers.count() // query_rows))
+    visits = keep(askers.repartitionByRange(chunks, "cell", "class_id").withColumn("chunk", F.spark_partition_id())
+                  .drop("cell").mapInArrow(_visit(index, wanted), f"class_id bigint, vector {kind}, chunk int, "
+                                           "block int, cells array<int>"), "ann-visits")
     blocks = (entries.join(F.broadcast(places), "cell")
               .withColumn("block", (F.col("first") + F.pmod(F.xxhash64("class_id"), F.col("splits"))).cast("int"))
-              .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-              .select("class_id", "vector", "cell", "block", "chunk"))
+              .join(visits.select(F.col("block").alias("block"), F.col("chunk").alias("chunk")).distinct(), "block")
+              .select("class_id", "vector", "least", "cell", "block", "chunk"))
     found = (blocks.groupBy("block", "chunk").cogroup(visits.groupBy("block", "chunk"))
-             .applyInPandas(_rerank(k + 8), "query_class bigint, score double, class_id bigint"))
+             .applyInPandas(_rerank(k + 1), "query_class bigint, score double, class_id bigint"))
     near = Window.partitionBy("query_class").orderBy(F.desc("score"), "vec_id")
     members = (found.join(classes.select("class_id", "members"), "class_id")
                .select("query_class", "score", F.explode("members").alias("vec_id"))

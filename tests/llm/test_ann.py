@@ -86,3 +86,28 @@ def test_copies_ties_and_unusable_vectors(spark):
     assert answers(ann.nearest(few.limit(0), F.col("vec_id") == 0)) == {}
     line = spark.createDataFrame([(0, [1.0]), (1, [-2.0]), (2, [3.0])], "vec_id long, embedding array<float>")
     assert answers(ann.nearest(line, F.col("vec_id") == 0)) == {0: [(2, 1.0), (1, -1.0)]}
+
+
+def test_many_different_vectors_of_one_cosine_go_by_id(spark):
+    rng = np.random.default_rng(4)
+    query, other = rng.normal(size=8), rng.normal(size=8)
+    rows = [(950, query)] + [(960 + i, (1 + 0.37 * i) * other) for i in range(40)] + [(1 + i, -query + 0.1 * rng.normal(size=8)) for i in range(30)]
+    table = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in rows], "vec_id bigint, embedding array<double>")
+    got = answers(ann.nearest(table, F.col("vec_id") == 950, k=5, block_rows=16))
+    best = np.argsort(-np.array([query @ other / np.linalg.norm(query) / np.linalg.norm(other)] * 40))
+    assert len(best) == 40 and [v for v, _ in got[950]] == [960, 961, 962, 963, 964]
+
+
+def test_chunks_and_blocks_change_nothing(spark):
+    from conftest import SF
+    rows = spark.read.parquet(f"{SF}/embeddings.parquet")
+    whole = answers(ann.nearest(rows, F.col("vec_id") % 3 == 0, k=4))
+    small = answers(ann.nearest(rows, F.col("vec_id") % 3 == 0, k=4, block_rows=32, query_rows=10))
+    assert whole == small
+
+
+def test_codebooks_grow_and_the_visited_share_falls():
+    sizes = [ann.codebook_size(n) for n in (1, 16, 2000, 50_000, 10**6, 10**12)]
+    assert sizes == sorted(sizes) and sizes[-1] == ann.CENTROIDS_MOST
+    shares = [ann.visited_share(n) for n in (1, 500, 2000, 50_000, 10**9)]
+    assert shares == sorted(shares, reverse=True) and shares[0] == 1.0 and shares[2] == ann.SHARE
