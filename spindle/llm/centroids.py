@@ -8,8 +8,8 @@ it.  For a point v and a centroid c with leading coordinates p and residual norm
 
 whatever the rotation, so centroids whose bound (less a margin for rounding) exceeds a
 known distance are filtered, and the survivors are verified with exact integers.  The
-axes come from a bounded sample of ``sample`` vectors (least hash); they decide how much
-is filtered, never the result.  Assignments go to the nearest centroid, ties to the
+axes come from a bounded sample of at most ``sample`` vectors (by hash of the id); they
+decide how much is filtered, never the result.  Assignments go to the nearest centroid, ties to the
 smaller number; an update takes the floor of the exact mean, and a centroid without
 points stays.  Tasks send one sum per centroid and component, so a round shuffles
 ``k * dim`` rows a task and the driver gets ``k * dim``.
@@ -201,7 +201,9 @@ def cluster_vectors(embeddings: DataFrame, k: int = K, rounds: int = ROUNDS, dim
     rows = (embeddings.select(F.col("vec_id").cast("long").alias("vec_id"),
                               F.col("embedding").cast("array<double>").alias("vector"))
             .filter(_kept(F.col("vector"), dim)))
-    drawn = rows.orderBy(F.xxhash64("vector"), "vec_id").limit(sample).select("vector").collect()
+    buckets = max(1, embeddings.count() // sample)
+    drawn = (rows.filter(F.pmod(F.xxhash64("vec_id"), F.lit(buckets)) == 0).select("vector").limit(sample).collect()
+             or rows.select("vector").limit(sample).collect())
     if not drawn:
         return empty_frame(spark, RESULT)
     rotation = Rotation.fit(np.floor(scale * np.array([r["vector"] for r in drawn])), lead)
