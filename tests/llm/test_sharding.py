@@ -70,3 +70,39 @@ def test_query_over_the_table(spark):
     assert {r.doc_id: (r.size, r.text_crc32) for r in rows} == \
         {d: (len(t.encode()) + 8, zlib.crc32(t.encode())) for d, t in texts.items()}
     assert len(rows) == len(texts)
+
+
+def test_the_local_permutation_is_one_and_mixes():
+    for n in (1, 2, 3, 100, 1025, 20_000):
+        out = sharding.permuted(np.arange(n), n, 11)
+        assert sorted(out.tolist()) == list(range(n))
+    image = sharding.permuted(np.arange(20_000), 20_000, 11)
+    assert abs(np.corrcoef(np.arange(20_000), image)[0, 1]) < 0.03
+    assert abs(np.corrcoef(image[:-1], image[1:])[0, 1]) < 0.03
+    assert (image != sharding.permuted(np.arange(20_000), 20_000, 12)).mean() > 0.99
+
+
+def test_two_level_draws_keep_the_margins_and_need_no_neighbours():
+    sizes = np.array([0, 40, 7, 300, 0, 1, 90, 12, 55, 8])
+    deal = sharding.Deal(sizes, 6, 3)
+    counts = np.array([np.diff(deal.ends(p), prepend=0) for p in range(len(sizes))])
+    assert counts.sum(axis=1).tolist() == sizes.tolist()
+    assert counts.sum(axis=0).tolist() == sharding.shard_sizes(int(sizes.sum()), 6)
+    alone = sharding.Deal(sizes, 6, 3)  # another task that meets one partition only
+    assert np.diff(alone.ends(6), prepend=0).tolist() == counts[6].tolist()
+    got = np.concatenate([deal.shards(3, np.arange(0, 150)), deal.shards(3, np.arange(150, 300))])
+    assert np.bincount(got, minlength=6).tolist() == counts[3].tolist()
+
+
+def test_rows_are_not_exchanged_before_they_are_dealt(spark, tmp_path):
+    df = spark.range(0, 100, 1, 4)
+    plan = sharding.shuffle_into_shards(df, 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") == 2  # the slots and the bases of a shard's buckets
+
+
+def test_each_row_is_as_likely_in_each_shard(spark):
+    hits = Counter()
+    for seed in range(40):
+        rows = sharding.shuffle_into_shards(spark.range(0, 60, 1, 5), 4, seed=seed).collect()
+        hits.update((r.id // 12, r.shard) for r in rows)
+    assert all(abs(hits[p, s] - 120) < 50 for p in range(5) for s in range(4))  # 480 rows a partition, deviation below 10
