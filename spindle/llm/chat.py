@@ -121,7 +121,10 @@ class _Digest:
         self.turn_hash, self.loss_hash = hashlib.sha256(), hashlib.sha256()
 
     def add(self, formatted: str, start: int, end: int) -> None:
-        for role, text in parse(formatted) or []:
+        turns = parse(formatted)
+        if turns is None:
+            raise ValueError(f"conversation {self.conv_id}: a formatted segment does not parse")
+        for role, text in turns:
             self.turns += 1
             self.turn_hash.update(f"{role}\n{text}\n".encode())
         self.chars += len(formatted)

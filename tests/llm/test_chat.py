@@ -83,3 +83,10 @@ def test_query_over_the_table(spark):
     assert {k: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for k, r in got.items()} == \
         {k: expected(v) for k, v in table.items()}
     assert got[-1].formatted_chars == sum(len(chat.format_turn(r, t)[0]) for r, t in table[-1])
+
+
+def test_a_segment_that_does_not_parse_is_an_error():
+    import pytest
+    digest = chat._Digest(5)
+    with pytest.raises(ValueError, match="conversation 5"):
+        digest.add("no template at all", 0, 0)
