@@ -8,8 +8,11 @@ item of fewer words has one shingle, all its words).
    is ``similarity`` or more misses at most (1 - similarity) of the item's shingle weight,
    so it holds one of any shingles that weigh more than that.  The item's rarest such
    shingles (by frequency in the benchmark) are looked up in every position of every
-   text; each hit gives the window aligned with the item, moved inside the text's bounds.
-   All other windows are provably below the threshold.
+   text.  A hit gives the window aligned with the item and those shifted by up to
+   (1 - similarity) / (1 + similarity) of the item's shingles, moved inside the text's
+   bounds.  A copy that keeps the item's order cannot be shifted further: at the threshold
+   that share of the window is foreign or missing at most, so before the hit too.  Of a
+   copy whose parts are rearranged, only windows at these starts are tried.
 2. Fingerprints.  Each window and item gets a 64-bit SimHash of its shingles, weighted by
    their counts.
 3. Multi-index.  Fingerprints are cut into ``BLOCK_BITS``; two within ``RADIUS`` bits agree
@@ -126,8 +129,13 @@ def matches(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     for size in sizes:
         own = hashed.select("text_key", F.size("w").alias("n"), F.posexplode(_shingles(F.col("w"), size)).alias("at", "h"))
         positions = own if positions is None else positions.union(own)
-    start = F.greatest(F.lit(0), F.least(F.col("at") - F.col("place"), F.col("n") - F.col("length")))
+    shingles = F.col("length") - F.least("length", F.lit(SHINGLE)) + 1
+    reach = F.floor(shingles * ((1 - similarity) / (1 + similarity)) + 1e-9).cast("int")
+    aligned = F.col("at") - F.col("place")
+    start = F.greatest(F.lit(0), F.least(F.col("start"), F.col("n") - F.col("length")))
     windows = keep(positions.join(checked_broadcast(lookup, "h"), "h")
+                   .select("text_key", "length", "n", aligned.alias("aligned")).distinct()
+                   .select("text_key", "length", "n", F.explode(F.sequence(F.col("aligned") - reach, F.col("aligned") + reach)).alias("start"))
                    .select("text_key", "length", start.alias("start")).distinct(), "bench-windows")
 
     hit = windows.select("text_key").distinct()

@@ -124,3 +124,39 @@ def test_query_over_the_table_is_native_and_equals_brute_force(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
     assert {(r.doc_id, r.item_id) for r in df.collect()} == set(brute(docs, items))
+
+
+def _best_window(text, item):
+    """(start, similarity) of the best window of the item's length, over every start."""
+    from collections import Counter
+    bag = lambda w: Counter(tuple(w[i:i + 5]) for i in range(len(w) - 4))
+    t, want = text.split(), bag(item.split())
+    length, out = len(item.split()), (-1, 0.0)
+    for start in range(len(t) - length + 1):
+        have = bag(t[start:start + length])
+        shared = sum((have & want).values())
+        value = shared / (sum(have.values()) + sum(want.values()) - shared)
+        if value > out[1] + 1e-12:
+            out = (start, value)
+    return out
+
+
+def test_shifted_copies_of_long_items(spark):
+    """Items of 200 words with common ends: the telling shingles lie in the middle, behind words put in and before words left out."""
+    import random
+    rng = random.Random(8)
+    word = lambda tag, i: f"{tag}{i}x"
+    head, tail = [word("h", i) for i in range(80)], [word("t", i) for i in range(80)]
+    items = [(k, " ".join([*head, *(word(f"m{k}w", i) for i in range(40)), *tail])) for k in range(3)]
+    w = items[0][1].split()
+    texts = {}
+    for n, (added, dropped) in enumerate([(0, 0), (4, 4), (8, 8), (6, 2), (2, 6), (12, 12), (20, 20)]):
+        new = [word(f"new{n}w", i) for i in range(added)]
+        own = [word(f"own{n}w", rng.randrange(10**6)) for _ in range(60)]
+        texts[n] = " ".join([*own, *w[:75], *new, *w[75:125], *w[125 + dropped:], *own])
+    docs = spark.createDataFrame([*texts.items()], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.contaminated(docs, bench).collect()}
+    truth = {(d, k): _best_window(t, i)[1] for d, t in texts.items() for k, i in items}
+    assert found == pytest.approx({p: s for p, s in truth.items() if s >= 0.8})
+    assert {d for d, k in found if k == 0} >= {0, 1, 2, 3, 4}
