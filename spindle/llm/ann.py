@@ -38,7 +38,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spindle.llm.common import empty_frame, keep
@@ -64,6 +64,21 @@ def kmeans(points: np.ndarray, k: int, rounds: int = 12, seed: int = 3) -> np.nd
     return centres
 
 
+def runs_of_cells(counts: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """First run of each cell and its number of runs, for runs of about ``rows`` members in the order of cells."""
+    splits = np.maximum(1, -(-counts // rows))
+    first = np.zeros(len(counts), np.int64)
+    run, filled = 0, 0
+    for cell, n in enumerate(counts):
+        if filled and filled + n > rows:
+            run, filled = run + 1, 0
+        first[cell] = run
+        filled += n
+        if splits[cell] > 1:
+            run, filled = run + splits[cell], 0
+    return first, splits
+
+
 @dataclass
 class MultiIndex:
     """Both codebooks, the vectors per cell and the blocks that hold each cell."""
@@ -85,16 +100,7 @@ class MultiIndex:
     def lay_out(self, counts: np.ndarray, block_rows: int) -> None:
         """Give runs of cells to blocks; a cell larger than a block gets several of its own."""
         self.counts = counts
-        self.splits = np.maximum(1, -(-counts // block_rows))
-        self.first_block = np.zeros(len(counts), np.int64)
-        block, filled = 0, 0
-        for cell, n in enumerate(counts):
-            if filled and filled + n > block_rows:
-                block, filled = block + 1, 0
-            self.first_block[cell] = block
-            filled += n
-            if self.splits[cell] > 1:
-                block, filled = block + self.splits[cell], 0
+        self.first_block, self.splits = runs_of_cells(counts, block_rows)
 
     def walk(self, near: np.ndarray, far: np.ndarray, wanted: int) -> list[int]:
         """Cells by increasing summed distance of their two centres until they hold ``wanted`` vectors."""
@@ -217,6 +223,24 @@ def _usable(vector: Column) -> Column:
     return vector.isNotNull() & F.coalesce(fine, F.lit(False)) & F.exists(vector, lambda v: v != 0)
 
 
+def _cell_counts(rows: DataFrame, n_cells: int) -> np.ndarray:
+    counts = np.zeros(n_cells, np.int64)
+    for r in rows.groupBy("cell").count().collect():  # at most a row per cell
+        counts[r["cell"]] = r["count"]
+    return counts
+
+
+def _places(spark: SparkSession, counts: np.ndarray, runs: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    return spark.createDataFrame([(c, int(runs[0][c]), int(runs[1][c])) for c in np.flatnonzero(counts).tolist()],
+                                 "cell int, first int, splits int")
+
+
+def _in_run(rows: DataFrame, places: DataFrame, name: str) -> DataFrame:
+    """``rows`` with the number of their cell's run; ``places`` has at most a row per cell."""
+    run = F.col("first") + F.pmod(F.xxhash64("class_id"), F.col("splits"))
+    return rows.join(F.broadcast(places), "cell").withColumn(name, run.cast("int")).drop("first", "splits")
+
+
 def nearest(embeddings: DataFrame, is_query: Column, k: int = 5, centroids: int | None = None, share: float = SHARE,
             sample: int = SAMPLE, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """The ``k`` nearest found of each row where ``is_query`` holds, of (vec_id, embedding)."""
@@ -247,22 +271,17 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 5, centroids: int
     index = MultiIndex((kmeans(points[:, :cut], centroids), kmeans(second, centroids)))
     entries = keep(classes.select("class_id", "vector", F.col("members")[0].alias("least")).mapInArrow(
         _assign(index), f"class_id bigint, vector {kind}, least bigint, cell int"), "ann-entries")
-    counts = np.zeros(len(index.halves[0]) * len(index.halves[1]), np.int64)
-    for r in entries.groupBy("cell").count().collect():  # at most centroids squared
-        counts[r["cell"]] = r["count"]
-    index.lay_out(counts, block_rows)
-    places = spark.createDataFrame(
-        [(c, int(index.first_block[c]), int(index.splits[c])) for c in np.flatnonzero(counts).tolist()],
-        "cell int, first int, splits int")
-
-    wanted = max(64, int(np.ceil(visited_share(n_classes, share) * n_classes)))
     askers = entries.join(asking.select("class_id").distinct(), "class_id", "left_semi").select("class_id", "vector", "cell")
-    chunks = max(1, -(-askers.count() // query_rows))
-    visits = keep(askers.repartitionByRange(chunks, "cell", "class_id").withColumn("chunk", F.spark_partition_id())
-                  .drop("cell").mapInArrow(_visit(index, wanted), f"class_id bigint, vector {kind}, chunk int, "
-                                           "block int, cells array<int>"), "ann-visits")
-    blocks = (entries.join(F.broadcast(places), "cell")
-              .withColumn("block", (F.col("first") + F.pmod(F.xxhash64("class_id"), F.col("splits"))).cast("int"))
+    n_cells = len(index.halves[0]) * len(index.halves[1])
+    index.lay_out(_cell_counts(entries, n_cells), block_rows)
+    places = _places(spark, index.counts, (index.first_block, index.splits))
+    asked = _cell_counts(askers, n_cells)
+    deal = _places(spark, asked, runs_of_cells(asked, query_rows))
+    wanted = max(64, int(np.ceil(visited_share(n_classes, share) * n_classes)))
+    visits = keep(_in_run(askers, deal, "chunk").drop("cell")
+                  .mapInArrow(_visit(index, wanted), f"class_id bigint, vector {kind}, chunk int, block int, cells array<int>"),
+                  "ann-visits")
+    blocks = (_in_run(entries, places, "block")
               .join(visits.select(F.col("block").alias("block"), F.col("chunk").alias("chunk")).distinct(), "block")
               .select("class_id", "vector", "least", "cell", "block", "chunk"))
     found = (blocks.groupBy("block", "chunk").cogroup(visits.groupBy("block", "chunk"))
