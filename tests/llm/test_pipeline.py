@@ -60,4 +60,4 @@ def test_empty_documents(spark):
 def test_queries_are_registered():
     import __spark_entry__ as E
     names = [n for n in E.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
