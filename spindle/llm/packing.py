@@ -6,8 +6,10 @@ tasks; each task packs its pieces by decreasing length:
 
 * best fit: the open bin, of any size, with the least room that still holds the piece;
 * otherwise a new bin of the permitted size with the least expected cost per packed
-  unit, where a bin costs its capacity plus a fixed overhead and its expected
-  content is what the remaining pieces can still put into it;
+  unit.  Its expected content is found by filling it with the remaining pieces, longest
+  first (what other open bins will take of them is not subtracted), and it costs the
+  permitted size that such content is downsized to, plus a fixed overhead; ties go to the
+  smaller size;
 * at the end each bin is downsized to the least permitted size that holds its content.
 
 Defined cases: null and empty texts are one piece of length 0 without a bin; pieces
@@ -17,8 +19,10 @@ empty table gives an empty result; extra columns are dropped.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -35,13 +39,31 @@ PLACED = ("doc_id bigint, piece int, start bigint, length int, bin_id bigint, "
           "bin_offset int, bin_used int, bin_capacity int")
 
 
-def pack(lengths: Sequence[int], capacities: Sequence[int], overhead: int = BIN_OVERHEAD
+class Filler:
+    """What the pieces from some position on put into a room, longest first."""
+
+    def __init__(self, lengths: Sequence[int]):
+        self.falling = [-x for x in lengths]
+        self.sums = [0, *accumulate(lengths)]
+
+    def content(self, room: int, at: int) -> int:
+        """Each step takes a run of neighbouring pieces and halves the room at least, so steps are few."""
+        filled = 0
+        while (at := bisect_left(self.falling, filled - room, at)) < len(self.falling):
+            end = bisect_right(self.sums, self.sums[at] + room - filled) - 1
+            filled += self.sums[end] - self.sums[at]
+            at = end
+        return filled
+
+
+def pack(lengths: Sequence[int], capacities: Sequence[int], overhead: int = BIN_OVERHEAD, by_lengths: bool = False
          ) -> tuple[list[int], list[int], list[int]]:
     """Bin and offset of each piece, and the content of each bin.
 
     ``lengths`` descend and lie between 1 and the largest capacity.  ``rooms`` is a
     bit set of the rooms that open bins have, so the best fit is its lowest bit at or
-    above the piece's length.
+    above the piece's length.  With ``by_lengths`` a new bin's expected content comes from
+    the remaining lengths, without it from their sum alone.
     """
     capacities = sorted(capacities)
     open_bins: dict[int, list[int]] = defaultdict(list)
@@ -49,11 +71,16 @@ def pack(lengths: Sequence[int], capacities: Sequence[int], overhead: int = BIN_
     bin_of, offset_of, used, capacity_of = [], [], [], []
     rest, least = sum(lengths), lengths[-1] if lengths else 0
 
-    def expected_cost(capacity: int, length: int, rest: int) -> float:
+    filler = Filler(lengths) if by_lengths else None
+
+    def expected_cost(capacity: int, length: int, rest: int, after: int) -> float:
+        if filler:
+            content = length + filler.content(capacity - length, after)
+            return (downsize(content, capacities) + overhead) / content
         content = length if capacity - length < least else min(capacity, length + rest)
         return (capacity + overhead) / content
 
-    for length in lengths:
+    for n, length in enumerate(lengths):
         rest -= length
         fitting = rooms >> length
         if fitting:
@@ -62,7 +89,7 @@ def pack(lengths: Sequence[int], capacities: Sequence[int], overhead: int = BIN_
             if not open_bins[room]:
                 rooms &= ~(1 << room)
         else:
-            room = min((c for c in capacities if c >= length), key=lambda c: (expected_cost(c, length, rest), c))
+            room = min((c for c in capacities if c >= length), key=lambda c: (expected_cost(c, length, rest, n + 1), c))
             at = len(used)
             used.append(0)
             capacity_of.append(room)
@@ -88,7 +115,7 @@ def _packer(capacities: Sequence[int], overhead: int):
         pieces = [row for b in batches for row in zip(*(b.column(c).to_pylist() for c in names[:4]), strict=True)]
         pieces.sort(key=lambda p: (-p[3], p[0] is not None, p[0], p[1]))
         full = [p for p in pieces if p[3]]
-        bin_of, offset_of, used = pack([p[3] for p in full], capacities, overhead)
+        bin_of, offset_of, used = pack([p[3] for p in full], capacities, overhead, by_lengths=True)
         first_id = TaskContext.get().partitionId() << 32
         rows = [(*p, first_id + b, o, used[b], downsize(used[b], capacities))
                 for p, b, o in zip(full, bin_of, offset_of, strict=True)]

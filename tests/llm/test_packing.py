@@ -38,6 +38,39 @@ def test_pack_follows_the_rules():
     assert packing.downsize(11, (10, 20, 40)) == 20
 
 
+def brute_by_lengths(lengths, capacities, overhead):
+    """Best fit that opens by the remaining lengths, with plain lists and scans."""
+    bins, out = [], []
+    for n, length in enumerate(lengths):
+        fit = [b for b in bins if b[0] >= length]
+        if fit:
+            best = min(b[0] for b in fit)
+            b = max((b for b in fit if b[0] == best), key=lambda b: b[2])
+        else:
+            def cost(c):
+                content = length
+                for x in lengths[n + 1:]:
+                    content += x if content + x <= c else 0
+                return (min(s for s in capacities if s >= content) + overhead) / content
+            b = [min((c for c in capacities if c >= length), key=lambda c: (cost(c), c)), 0, n]
+            bins.append(b)
+        out.append((next(i for i, x in enumerate(bins) if x is b), b[1]))
+        b[0], b[1], b[2] = b[0] - length, b[1] + length, n
+    return out, [b[1] for b in bins]
+
+
+def test_bins_open_by_the_remaining_lengths():
+    rng = random.Random(2)
+    for n in range(300):
+        lengths = sorted((rng.randint(1, (40, 9)[n % 2]) for _ in range(rng.randint(1, 60))), reverse=True)
+        bin_of, offset_of, used = packing.pack(lengths, (10, 20, 40), 3, by_lengths=True)
+        places, contents = brute_by_lengths(lengths, (10, 20, 40), 3)
+        assert list(zip(bin_of, offset_of, strict=True)) == places and used == contents
+    # three fives in 16 cost 17 for 15 units, two in 10 cost 11 for 10
+    assert packing.pack([5] * 6, (10, 16), 1, by_lengths=True)[2] == [10, 10, 10]
+    assert packing.pack([], (10,), by_lengths=True) == ([], [], [])
+
+
 def check(rows, lengths, capacities):
     """Every byte of every document is in one bin, bins do not overlap or overflow."""
     pieces, bins = {}, {}
