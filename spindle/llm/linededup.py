@@ -12,7 +12,9 @@ r"""Line dedup by pairwise alignment.
    enough, however many hold it, so what is lost does not depend on the corpus's size.
    (With the option ``rare``, off by default, a seed that more than ``rare`` classes hold
    needs a second one shared by the same pair.)
-3. Overlapping pairs are aligned by patience diff over their line hashes: lines unique
+3. Overlapping pairs are aligned by patience diff over their lines, which are equal where
+   their 64-bit hash and 60 bits of their SHA-256 agree, so lines whose seeds collide do
+   not align: lines unique
    in both anchor the alignment along their longest increasing run, and the gaps between
    anchors are aligned the same way; a gap without such lines gets a longest common
    subsequence.  Aligned runs of equal lines with ``min_chars``
@@ -221,10 +223,18 @@ def _seeds(texts: DataFrame, make: Callable[..., np.ndarray], least: int) -> Dat
             .select("row", "place", F.explode("seeds").alias("seed")))
 
 
+def _numbered(names: dict[tuple[int, int], int], lines: Sequence[int], checks: Sequence[int]) -> list[int]:
+    """A number for each line; lines have the same one if both of their hashes agree."""
+    return [names.setdefault(x, len(names)) for x in zip(lines, checks, strict=True)]
+
+
 def _align(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("later_lines", "earlier_lines", "later_chars"))
-        lost = [common_blocks(*row, least) for row in zip(*columns, strict=True)]
+        columns = (batch.column(c).to_pylist() for c in ("later_lines", "later_checks", "earlier_lines", "earlier_checks", "later_chars"))
+        lost = []
+        for later, later_checks, earlier, earlier_checks, chars in zip(*columns, strict=True):
+            names: dict[tuple[int, int], int] = {}
+            lost.append(common_blocks(_numbered(names, later, later_checks), _numbered(names, earlier, earlier_checks), chars, least))
         yield pa.RecordBatch.from_arrays([batch.column("later"), pa.array(lost, pa.list_(pa.int32()))],
                                          names=["later", "lost"])
 
@@ -246,6 +256,7 @@ def lost_lines(documents: DataFrame, row: str, min_chars: int = MIN_CHARS, rare:
     held = keep(documents.select(
         F.col(row).alias("row"), F.col("doc_id"), F.md5(F.encode(body(), "UTF-8")).alias("text_key"),
         F.transform(lines, lambda x: F.xxhash64(x)).alias("lines"),
+        F.transform(lines, lambda x: F.conv(F.substring(F.sha2(x, 256), 1, 15), 16, 10).cast("long")).alias("checks"),
         F.transform(lines, lambda x: F.length(x)).alias("chars")), "lines")
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row")
     classes = held.groupBy("text_key").agg(F.min(order).alias("first"))
@@ -262,9 +273,10 @@ def lost_lines(documents: DataFrame, row: str, min_chars: int = MIN_CHARS, rare:
     # written as well: the earliest holder of a very common line is a hot key of the joins below
     pairs = keep(pairs.select("later", "earlier"), "line-pairs")
     sides = (pairs.join(firsts.select(F.col("row").alias("later"), F.col("lines").alias("later_lines"),
-                                      F.col("chars").alias("later_chars")), "later")
-             .join(firsts.select(F.col("row").alias("earlier"), F.col("lines").alias("earlier_lines")), "earlier"))
-    lost = (sides.select("later", "later_lines", "earlier_lines", "later_chars")
+                                      F.col("checks").alias("later_checks"), F.col("chars").alias("later_chars")), "later")
+             .join(firsts.select(F.col("row").alias("earlier"), F.col("lines").alias("earlier_lines"),
+                                 F.col("checks").alias("earlier_checks")), "earlier"))
+    lost = (sides.select("later", "later_lines", "later_checks", "earlier_lines", "earlier_checks", "later_chars")
             .mapInArrow(partial(_align, least=min_chars), "later bigint, lost array<int>")
             .groupBy(F.col("later").alias("row"))
             .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("lost")))).alias("lost")))

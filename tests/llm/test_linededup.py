@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from spindle.llm import linededup
@@ -144,3 +145,64 @@ def test_every_telling_line_survives_somewhere(spark):
     after = linededup.drop_lost_lines(docs)
     assert telling(after) == telling(docs)
     assert after.count() < docs.count()
+
+
+def test_lines_of_one_hash_and_different_text_do_not_align():
+    row = {"later": 7, "later_lines": [5, 6, 7], "later_checks": [1, 2, 3], "earlier_lines": [5, 6, 7], "earlier_checks": [1, 9, 3],
+           "later_chars": [30, 30, 30]}
+    got = linededup._align(iter([pa.RecordBatch.from_pylist([row])]), 24)
+    assert next(got).to_pylist() == [{"later": 7, "lost": [0, 2]}]
+
+
+def brute(rows, least):
+    """The lost lines by text alone: every shared run and its earliest holder, pairs aligned."""
+    order = sorted(range(len(rows)), key=lambda n: (rows[n][0] is None, rows[n][0] or 0, n))
+    first = {}
+    for n in order:
+        first.setdefault(rows[n][1] or "", n)
+    lines = {n: t.split("\n") for t, n in first.items()}
+    enough = lambda run: sum(map(len, run)) >= least
+    holders, runs = {}, {}
+    for n in first.values():
+        t = lines[n]
+        runs[n] = [(a, b) for a in range(len(t)) for b in range(a + 1, len(t) + 1)
+                   if enough(t[a:b]) and not enough(t[a + 1:b]) and not enough(t[a:b - 1])]
+        for a, b in runs[n]:
+            holders.setdefault(tuple(t[a:b]), []).append(n)
+    shared = {k for k, v in holders.items() if len(set(v)) > 1}
+    for n in first.values():
+        t, width = lines[n], 2
+        while width <= len(t):
+            for a in range(len(t) - width + 1):
+                inside = [tuple(t[x:y]) for x, y in runs[n] if a <= x and y <= a + width]
+                if inside and all(k in shared for k in inside):
+                    holders.setdefault(tuple(t[a:a + width]), []).append(n)
+            width *= 2
+    place = {n: p for p, n in enumerate(order)}
+    pairs = {(n, min(v, key=place.get)) for v in holders.values() for n in v}
+    gone = {n: set() for n in range(len(rows))}
+    for later, earlier in pairs:
+        if later != earlier:
+            gone[later].update(common_blocks(lines[later], lines[earlier], [len(x) for x in lines[later]], least))
+    for n, (_, text) in enumerate(rows):
+        t = (text or "").split("\n")
+        if first[text or ""] != n and enough(t):
+            gone[n] = set(range(len(t)))
+    return sorted(((rows[n][0], len((rows[n][1] or "").split("\n")), sorted(x)) for n, x in gone.items()),
+                  key=lambda x: (x[0] is None, x[0] or 0, x[1], x[2]))
+
+
+def test_losses_equal_brute_force(spark):
+    rng = random.Random(9)
+    stock = [f"line {i} " + "x" * rng.choice([0, 3, 20, 40]) for i in range(30)]
+    passages = [[rng.choice(stock) for _ in range(rng.randrange(1, 7))] for _ in range(12)]
+    rows = []
+    for i in range(120):
+        text = []
+        for _ in range(rng.randrange(1, 5)):
+            text += rng.choice(passages) if rng.random() < 0.6 else [f"own line {rng.randrange(400)}"] * rng.randrange(1, 3)
+        rows.append((rng.choice([None, i, i // 2]), rng.choice([None, "", "\n".join(text), "\n".join(text), "\n".join(text)])))
+    rows += rng.sample(rows, 15)
+    got = lost(spark, rows)
+    assert got == brute(rows, linededup.MIN_CHARS)
+    assert sum(bool(x[2]) for x in got) > 40
