@@ -3,11 +3,12 @@
 Each whole text becomes a vector of statistics, transformed towards normality (log of
 sizes, arcsine square root of shares).  Spark sums counts, vectors and outer products
 per class over all labelled training rows; the driver turns those sums (a few hundred
-numbers) into class means and shrunken covariances
+numbers) into class means and shrunken covariances.  With D the pooled standard
+deviations as a diagonal matrix,
 
-    S_k' = (1 - ridge) * ((1 - pool) * S_k + pool * S) + ridge * mean(diag S) * I
+    S_k' = (1 - ridge) * ((1 - pool) * S_k + pool * S) + ridge * D^2
 
-and one Cholesky factor per class, made once and sent with the scoring tasks.  The
+(computed on the scale of D, as D^-1 S_k' D^-1), and one Cholesky factor per class, made once and sent with the scoring tasks.  The
 score is the logistic of the log-density difference of the classes plus the log prior
 ratio, divided by a fixed temperature (a quadratic discriminant is overconfident).
 
