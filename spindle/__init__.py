@@ -1,7 +1,8 @@
 """spindle: word, key and stream statistics as Spark DataFrame / Structured Streaming jobs.
 
 Every public operator takes DataFrames (or a session plus paths) and returns a
-DataFrame; nothing is collected to the driver inside the library.
+DataFrame.  What reaches the driver is bounded: probes of one row, counts per group of
+partitions, model parameters; never the rows of a table.
 """
 
 __version__ = "0.1.0"
@@ -10,9 +11,8 @@ __version__ = "0.1.0"
 def _ship_by_value() -> None:
     """Pickle this package's functions and classes by value.
 
-    Python workers (mapInPandas, transformWithStateInPandas) then rebuild the
-    state processor and helpers from the task itself, so executors need no copy
-    of the package on their path.
+    Python workers (mapInArrow, Pandas UDFs) then rebuild the functions from the
+    task itself, so executors need no copy of the package on their path.
     """
     import sys
 

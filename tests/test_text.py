@@ -77,3 +77,13 @@ def test_broadcast_guard_byte_limit(spark):
     # 2000 key bytes: over a 1500-byte limit the side comes back without a hint
     assert checked_broadcast(wide, "word", max_bytes=1500) is wide
     assert checked_broadcast(wide, "word", max_bytes=4000) is not wide
+
+
+def test_broadcast_guard_counts_every_column(spark):
+    from spindle.operators.joins import checked_broadcast
+    rows = spark.createDataFrame([("a", "x" * 1000, [1, 2], 7, None), ("b", None, None, None, True)],
+                                 "word string, note string, ids array<long>, n long, flag boolean")
+    assert checked_broadcast(rows, "word", max_bytes=1000) is rows
+    assert checked_broadcast(rows.select("word"), "word", max_bytes=1000).columns == ["word"]
+    assert checked_broadcast(rows, "word", max_bytes=4000) is not rows
+    assert checked_broadcast(rows.limit(0), "word", max_bytes=0) is not None
