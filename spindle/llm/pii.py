@@ -1,10 +1,13 @@
 r"""Personal data: fixed patterns, and bootstrapped contextual extraction of further identifiers.
 
-Base spans (leftmost, non-overlapping per kind): email, ip, card, phone.
+Base spans (leftmost, non-overlapping per kind): email, ip, card, phone.  A fifth kind,
+``secret``, has seeds of its own: quoted values of ``SECRET_CHARS`` or more with a digit and
+a letter that a text assigns to a secret's name (``token = "..."``), and keys of well-known
+shapes.  They are listed with the spans, after the base kinds, and are no part of the base.
 
 Bootstrapping.  Every run of identifier-like tokens (with an ASCII digit or ``@``) that
-single blanks join and no base span touches is a candidate, of any length; a run ends at
-other punctuation between its tokens.  Base spans are the seeds.  Both come with up to
+single blanks join and no seed touches is a candidate, of any length; a run ends at
+other punctuation between its tokens.  Base spans and secrets are the seeds.  Both come with up to
 three lexical patterns: the word to the left, the two words to the left, the word to the
 right (lower-cased, outer punctuation stripped; words with digits are passed over, so a
 run has the patterns of its tokens).  Spark joins patterns and distinct instances into a
@@ -21,7 +24,8 @@ Candidate places whose instance and one of whose patterns reach ``ACCEPT`` becom
 spans of the kind.  Texts are read once; the graph is made of distinct values, so a
 passage copied a million times counts once.
 
-Defined cases: null text counts as empty and has no spans; spans of one kind that start
+Defined cases: null text counts as empty and has no spans; a key of a known shape inside an
+assigned value belongs to the value; an assignment without a digit or without a letter is no seed; spans of one kind that start
 together are listed once; repeated rows are handled row by row; an empty table gives an
 empty result; extra columns are dropped.
 """
@@ -46,6 +50,17 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
+SECRET = "secret"
+SECRET_CHARS = 16
+# Names that secrets are assigned to, and the shapes of well-known keys.
+SECRET_NAMES = ("token", "secret", "password", "passwd", "apikey", "api_key", "api-key", "access_key", "access-key",
+                "private_key", "private-key", "credential", "credentials")
+KEY_SHAPES = (r"AKIA[0-9A-Z]{16}", r"AIza[0-9A-Za-z_-]{35}", r"gh[opsu]_[0-9A-Za-z]{36}", r"xox[abp]-[0-9A-Za-z-]{10,}")
+KEY_STARTS = ("AKIA", "AIza", "gho_", "ghp_", "ghs_", "ghu_", "xoxa", "xoxb", "xoxp")
+ASSIGNED = re.compile(r"[:=]\s{0,8}([\"'])([^\s\"']{%d,})\1" % SECRET_CHARS)
+SHAPED = re.compile(r"(?<![0-9A-Za-z_-])(?:%s)(?![0-9A-Za-z_-])" % "|".join(KEY_SHAPES))
+ORDER = (*KINDS, SECRET)
+
 TOKEN = re.compile(r"\S+")
 LIKELY = re.compile(r"[0-9@]")
 OUTER = " \t\r\n.,;:!?\"'()[]{}<>|=*#$%&"
@@ -103,6 +118,24 @@ def base_spans(text: str) -> list[Span]:
     return spans
 
 
+def secret_spans(text: str) -> list[Span]:
+    """Seeds of the kind ``secret``, by start, non-overlapping."""
+    spots = set()
+    for m in ASSIGNED.finditer(text):
+        name = text[max(0, m.start() - 40):m.start()].rstrip().rstrip("\"'").lower()
+        value = m.group(2)
+        if name.endswith(SECRET_NAMES) and any(map(str.isdigit, value)) and any(map(str.isalpha, value)):
+            spots.add(m.span(2))
+    if any(start in text for start in KEY_STARTS):
+        spots.update(m.span() for m in SHAPED.finditer(text))
+    taken, spans = -1, []
+    for start, end in sorted(spots, key=lambda s: (s[0], -s[1])):
+        if start >= taken:
+            spans.append((SECRET, start, end))
+            taken = end
+    return spans
+
+
 def _word(token: str) -> str:
     return token.strip(OUTER).lower()
 
@@ -167,17 +200,17 @@ def _key(found: str) -> str:
     return found if len(found) <= KEY_CHARS else "sha256:" + hashlib.sha256(found.encode("utf-8", "surrogatepass")).hexdigest()
 
 
-def sightings(text: str, base: list[Span]) -> Iterator[tuple[str | None, str, list[str], int, int]]:
-    """(kind or None, instance, patterns, start, end) of base spans and of other identifier-like runs."""
-    for kind, start, end in base:
+def sightings(text: str, seeds: list[Span]) -> Iterator[tuple[str | None, str, list[str], int, int]]:
+    """(kind or None, instance, patterns, start, end) of seeds and of other identifier-like runs."""
+    for kind, start, end in seeds:
         yield kind, _key(text[start:end]), _context(text, start, end), start, end
-    for start, end in _runs(text, sorted((start, end) for _, start, end in base)):
+    for start, end in _runs(text, sorted((start, end) for _, start, end in seeds)):
         yield None, _key(text[start:end]), _context(text, start, end), start, end
 
 
 def listed(spans: list[Span]) -> str:
     """kind:start:end, by kind as listed, then start, comma-joined."""
-    order = sorted(set(spans), key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
+    order = sorted(set(spans), key=lambda s: (ORDER.index(s[0]), s[1], s[2]))
     return ",".join(f"{k}:{a}:{b}" for k, a, b in order)
 
 
@@ -186,25 +219,26 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                     ("start", pa.int32()), ("end", pa.int32())]))
     for batch in batches:
         counts: dict[str, list[int]] = {k: [] for k in KINDS}
-        lists, seen = [], []
+        lists, more, seen = [], [], []
         for text in batch.column("text").to_pylist():
-            base = base_spans(text)
+            base, secrets = base_spans(text), secret_spans(text)
             for k in KINDS:
                 counts[k].append(sum(s[0] == k for s in base))
             lists.append(listed(base))
+            more.append(listed(secrets))
             seen.append([dict(zip(("kind", "instance", "patterns", "start", "end"), s, strict=True))
-                         for s in sightings(text, base)] if base or LIKELY.search(text) else [])
+                         for s in sightings(text, base + secrets)] if base or secrets or LIKELY.search(text) else [])
         out = [batch.column("row"), batch.column("doc_id"), *(pa.array(counts[k], pa.int64()) for k in KINDS),
-               pa.array(lists, pa.string()), pa.array(seen, seen_type)]
-        yield pa.RecordBatch.from_arrays(out, names=["row", "doc_id", *(f"n_{k}" for k in KINDS), "base", "seen"])
+               pa.array(lists, pa.string()), pa.array(more, pa.string()), pa.array(seen, seen_type)]
+        yield pa.RecordBatch.from_arrays(out, names=["row", "doc_id", *(f"n_{k}" for k in KINDS), "base", "secrets", "seen"])
 
 
-SCANNED = ("row bigint, doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base string, "
+SCANNED = ("row bigint, doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base string, secrets string, "
            "seen array<struct<kind:string,instance:string,patterns:array<string>,start:int,end:int>>")
 
 
 def scan(documents: DataFrame) -> DataFrame:
-    """Base spans, seeds and candidates of every document; written once."""
+    """Base spans, secrets and candidates of every document; written once."""
     named = documents.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                              body().alias("text"))
     return keep(named.mapInArrow(_scan, SCANNED), "pii-scan")
@@ -238,7 +272,7 @@ def confidences(scanned: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_S
 
 
 def find(documents: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, accept: float = ACCEPT) -> DataFrame:
-    """Per document: base counts, base list, and ``added`` spans (array of kind, start, end)."""
+    """Per document: base counts, base list, ``secrets`` list, and ``added`` spans (array of kind, start, end)."""
     scanned = scan(documents)
     patterns, instances = confidences(scanned, rounds, min_seeds, accept)
     places = (scanned.select("row", F.explode("seen").alias("s")).filter("s.kind is null")
@@ -250,17 +284,19 @@ def find(documents: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS,
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        made, digest = [], []
-        for base, added in zip(batch.column("base").to_pylist(), batch.column("added").to_pylist(), strict=True):
-            spans = [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in base.split(",") if x)]
+        made, digest, found = [], [], []
+        for base, more, added in zip(*(batch.column(c).to_pylist() for c in ("base", "secrets", "added")), strict=True):
+            spans = [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in f"{base},{more}".split(",") if x)]
             made.append(listed(spans + [(s["kind"], s["start"], s["end"]) for s in added or []]))
+            found.append(len(added or []))
             digest.append(hashlib.sha256(base.encode()).hexdigest())
-        rest = batch.drop_columns(["base", "added"])
-        yield rest.append_column("base_sha256", pa.array(digest, pa.string())).append_column("spans", pa.array(made, pa.string()))
+        rest = batch.drop_columns(["base", "secrets", "added"])
+        yield (rest.append_column("base_sha256", pa.array(digest, pa.string())).append_column("spans", pa.array(made, pa.string()))
+               .append_column("n_added", pa.array(found, pa.int64())))
 
 
 def document_spans(documents: DataFrame, **options) -> DataFrame:
-    """doc_id, base counts, the base list's SHA-256 and all spans of every document."""
-    found = find(documents, **options).select("doc_id", *(f"n_{k}" for k in KINDS), "base", "added")
+    """doc_id, base counts, the base list's SHA-256, all spans of every document, and the number of spans from contexts."""
+    found = find(documents, **options).select("doc_id", *(f"n_{k}" for k in KINDS), "base", "secrets", "added")
     return found.mapInArrow(_merge, "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, "
-                                    "base_sha256 string, spans string")
+                                    "base_sha256 string, spans string, n_added bigint")

@@ -89,6 +89,34 @@ def test_identifiers_with_blanks_and_second_hops(spark):
         assert got[doc] == ("" if doc == 301 else f"phone:{at}:{at + len(hidden)}"), doc
 
 
+def secrets(text):
+    return [text[a:b] for _, a, b in pii.secret_spans(text)]
+
+
+def test_secrets_are_assigned_values_and_known_shapes():
+    value = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    for named in (f'token = "{value}"', f"API_KEY='{value}'", f'{{"password": "{value}"}}', f'my_Secret:"{value}"'):
+        assert secrets(named) == [value], named
+    for other in (f'commit = "{value}"', f"token {value}", f'token = "{value}', 'token = "short1"', 'token = "onlyletterslongerthansixteen"',
+                  f'token = "{"1" * 40}"', f'token of "{value}"', 'AKIA12', "xAKIA" + "A1" * 8, ""):
+        assert secrets(other) == [], other
+    key = "AKIA" + "A1" * 8
+    assert secrets(f"see {key}, {key}") == [key, key]
+    assert secrets(f'token="{key}"') == [key] and secrets(f'token="1-{key}"') == [f"1-{key}"]
+    assert secrets('token="' * 20_000 + "x" * 50_000) == []
+
+
+def test_contexts_of_secrets_find_unseen_ones(spark):
+    value = lambda i: hashlib.md5(str(i).encode()).hexdigest()
+    rows = [(i, f'a line token = "{value(i)}" b') for i in range(30)]
+    rows += [(100, f"a line token {value(100)} b"), (101, f"one commit {value(101)} done"), (102, "a line token none b")]
+    got = {r.doc_id: r for r in answers(spark, rows)}
+    assert [got[i].spans for i in range(30)] == ["secret:16:48" for _ in range(30)]
+    assert [got[i].spans for i in (100, 101, 102)] == ["secret:13:45", "", ""]
+    assert [got[i].n_added for i in (29, 100, 101, 102)] == [0, 1, 0, 0]
+    assert {r.base_sha256 for r in got.values()} == {hashlib.sha256(b"").hexdigest()}
+
+
 def test_edge_cases(spark):
     text = "x@y.zz and " * 20_000
     rows = [(1, None), (2, ""), (None, "a@b.cc"), (4, "a@b.cc"), (4, "a@b.cc"), (5, text), (6, "9" * 6000 + " " + "1." * 5000)]
